@@ -78,3 +78,8 @@ def words_of(text: Column) -> Column:
     """Maximal runs of characters other than ``[\\x20\\x09-\\x0D]``."""
     bare = F.regexp_replace(text, f"^[{WS}]+|[{WS}]+\\z", "")
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"[{WS}]+", -1))
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches small enough for long texts, for the queries that run from now on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
