@@ -353,3 +353,11 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
     return sets.join(ids, "doc_id", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def drop_near_copies(documents: DataFrame) -> DataFrame:
+    """``documents`` with the least doc_id of each component; rows with a null doc_id stay."""
+    found = near_duplicates(documents).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = cut(found, "near-gone")
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return documents.join(side, documents["doc_id"].cast("long") == F.col("_gone"), "left_anti")

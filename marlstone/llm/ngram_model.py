@@ -42,16 +42,23 @@ def grams(words: Column, buckets: int = BUCKETS) -> Column:
     return let(words, of)
 
 
-def log_ratios(gram_rows: DataFrame, buckets: int = BUCKETS, alpha: float = 1.0) -> list[float] | None:
+def log_ratios(rows: DataFrame, buckets: int = BUCKETS, alpha: float = 1.0) -> list[float] | None:
     """log P(bucket | target) - log P(bucket | raw) for each bucket, both smoothed by ``alpha``.
 
-    ``gram_rows`` has an array column ``grams`` and a boolean ``trusted``.  Only the
-    ``buckets`` sums reach the driver.  None where the target has no gram.
+    ``rows`` has an array column ``_words`` and a boolean ``trusted``.  Only the ``buckets``
+    sums reach the driver.  None where the target has no gram.  The buckets are those of
+    :func:`grams`, made row by row in generated code rather than in lambdas.
     """
     import numpy as np
 
+    after = F.concat(F.slice("_words", 2, F.greatest(F.size("_words") - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    words = rows.select("trusted", F.explode(F.arrays_zip(F.col("_words").alias("a"), after.alias("b"))).alias("w"))
+    words = words.where("w.a is not null").select("trusted", F.col("w.a").alias("a"), F.col("w.b").alias("b"))
+    one = F.pmod(F.xxhash64("a"), F.lit(buckets))
+    pair = F.when(F.col("b").isNotNull(), F.pmod(F.xxhash64("a", "b"), F.lit(buckets)))
     counts = (
-        gram_rows.select("trusted", F.explode("grams").alias("bucket"))
+        words.select("trusted", F.explode(F.array(one, pair)).alias("bucket"))
+        .where("bucket is not null")
         .groupBy("bucket")
         .agg(F.count("*").alias("raw"), F.sum(F.col("trusted").cast("long")).alias("target"))
         .collect()

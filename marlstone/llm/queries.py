@@ -6,8 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality_rules
-from .common import table
+from . import (
+    bpe_codec,
+    exact_dedup,
+    ngram_join,
+    packing,
+    pii,
+    quality_rules,
+    resampling,
+    token_counts,
+    training_order,
+    warc,
+)
+from .common import new_path, table
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.round_trip_digests(table(spark, sf_dir, "documents"))
+
+
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.materialise(table(spark, sf_dir, "documents"))
+
+
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +45,55 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _multi_counts(texts: list[str]) -> list[int]:
+    own = bpe_codec.codec()
+    return [len(own.encode(text)) for text in texts]
+
+
+def _plain_counts(texts: list[str]) -> list[int]:
+    encode = training_order.encoder().encode_ordinary
+    return [len(encode(text)) for text in texts]
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tokenizer versions, each loaded as a batch; the first is sent twice and counts once."""
+    docs = table(spark, sf_dir, "documents")
+    rollup = token_counts.Rollup(spark, new_path(spark, "token-counts"))
+    first = token_counts.count_tokens(docs, "byte_bpe_50k", _plain_counts)
+    rollup.commit("load/byte_bpe_50k", token_counts.inserts(first))
+    rollup.commit("load/byte_bpe_50k", token_counts.inserts(first))
+    second = token_counts.count_tokens(docs, "byte_bpe_multi_50k", _multi_counts)
+    rollup.commit("load/byte_bpe_multi_50k", token_counts.inserts(second))
+    return rollup.totals()
+
+
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(table(spark, sf_dir, "pages"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op2_training_order": op2_training_order,
+    "op3_importance_resampling": op3_importance_resampling,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op7_warc_derivatives": op7_warc_derivatives,
+    "op8_pii": op8_pii,
+    "op9_ngram_join": op9_ngram_join,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {
