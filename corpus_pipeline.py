@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import exact_dedup, quality_rules
+from marlstone.llm import exact_dedup, ngram_join, packing, pii, quality_rules
 from marlstone.llm.common import cut, table
 
 
@@ -19,9 +19,27 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return ngram_join.drop_near_copies(docs)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data replaced in their texts."""
+    return pii.sanitise(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("quality_rules", quality),
     ("exact_dedup", exact),
+    ("ngram_join", near),
+    ("pii", private),
+    ("packing", packed),
 ]
 
 #: Similarity components and packing are beyond SQL.
