@@ -47,10 +47,8 @@ SKETCH_BITS = 20
 CHUNK_BITS = 14
 BITMAP_BITS = 1024
 BLOCK = 512
+LARGE = 2048
 BROADCAST_IDS = 500_000
-_MULTIPLIERS = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64
-)
 _MASK = (1 << 64) - 1
 
 
@@ -83,8 +81,8 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     h = np.fromiter(map(_hashes.__getitem__, parts), np.uint64, len(parts))
     width = min(words, len(h))
     out = np.full(len(h) - width + 1, width, np.uint64)
-    for k in range(width):
-        out = out * np.uint64(0x9FB21C651E98DF25) + _mix(h[k : len(h) - width + 1 + k] + _MULTIPLIERS[k % 5])
+    for k in range(width):  # words are hashed already: a polynomial keeps their order
+        out = out * np.uint64(0x9FB21C651E98DF25) + h[k : len(h) - width + 1 + k]
     return np.unique(_mix(out))
 
 
@@ -128,13 +126,15 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(size, np.int32)
         for batch in batches:
-            sizes, sums = [], []
+            sizes, sums, cells = [], [], []
             for text in batch.column(1):
                 x = shingles(text.as_py(), words)
-                np.add.at(sketch, (x & np.uint64(size - 1)).astype(np.int64), 1)
+                cells.append((x & np.uint64(size - 1)).astype(np.int64))
                 sizes.append(len(x))
                 # two sums of independent mixes: 128 bits for a set
-                sums.append((int(_mix(x + np.uint64(1)).sum()) & _MASK, int(_mix(x ^ np.uint64(_MASK)).sum()) & _MASK))
+                sums.append((int(x.sum()) & _MASK, int(_mix(x ^ np.uint64(_MASK)).sum()) & _MASK))
+            if cells:
+                sketch += np.bincount(np.concatenate(cells), minlength=size).astype(np.int32)
             k = len(sizes)
             d = np.array(sums, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -192,10 +192,32 @@ def _postings(docs: DataFrame, sketch, words: int) -> DataFrame:
     return docs.mapInArrow(run, "key long, doc long, n int")
 
 
+def _whole_runs(batches: Iterator[pa.RecordBatch], least: int = 20_000) -> Iterator[pa.Table]:
+    """Batches that are sorted by their first column, regrouped so that no key is cut in two.
+
+    Only the rows of a key that may go on are held back.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= least:
+            table = pa.Table.from_batches(held).combine_chunks()
+            key = table.column(0).to_numpy()
+            last = int(np.searchsorted(key, key[-1]))
+            if last:
+                yield table.slice(0, last)
+            held = table.slice(last).to_batches()
+            size = table.num_rows - last
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _tiles(postings: DataFrame) -> DataFrame:
     """Postings of keys with more than one document, with the leader of their tile.
 
-    Input is dealt and sorted by key; a batch's last run is carried to the next batch.
+    Input is dealt and sorted by key.
     """
 
     def shared(key, doc, n):
@@ -210,21 +232,11 @@ def _tiles(postings: DataFrame) -> DataFrame:
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (b[1:] != b[:-1])
         lead = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-        # the band below's leader, where that tile is the one just before
         return pa.RecordBatch.from_arrays(list(map(pa.array, (key, doc, n, lead))), ["key", "doc", "n", "leader"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)]
-        for batch in batches:
-            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            both = [np.concatenate(x) for x in zip(held, new, strict=True)]
-            key = both[0]
-            last = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            if last:
-                yield shared(*(c[:last] for c in both))
-            held = [c[last:] for c in both]
-        if len(held[0]):
-            yield shared(*held)
+        for whole in _whole_runs(batches):
+            yield shared(*(whole.column(c).to_numpy() for c in ("key", "doc", "n")))
 
     dealt = postings.repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, "key long, doc long, n int, leader long")
@@ -275,16 +287,43 @@ def _rest_pairs(tiles: DataFrame, found: DataFrame, docs: DataFrame, words: int)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(maps, pa.binary())], ["doc", "bits"])
 
     signed = _texts_of(docs, cut(ids, "ids")).select("doc_id", "text").mapInArrow(sign, "doc long, bits binary")
-    # a tile's members meet block by block: member of block i goes to all (i, j) with i <= j
-    # and (j, i) with j < i, in its own size band and the next
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _whole_runs(batches):
+            key, doc, n, comp = (whole.column(c).to_numpy() for c in ("key", "doc", "n", "comp"))
+            n = n.astype(np.int64)
+            bits = np.frombuffer(b"".join(whole.column("bits").to_pylist()), np.uint64).reshape(len(n), -1)
+            found, apart = [], 0
+            while True:  # rows of one key that stand 1, 2, ... rows apart
+                apart += 1
+                i = np.nonzero(key[apart:] == key[:-apart])[0]
+                if not len(i):
+                    break
+                j = i + apart
+                low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+                fit = (comp[i] != comp[j]) & (doc[i] != doc[j]) & (100 * low >= PERCENT * high)
+                i, j, total = i[fit], j[fit], (low + high)[fit]
+                differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1).astype(np.int64)
+                fit = (total - differ) // 2 >= -(-PERCENT * total // (100 + PERCENT))
+                found.append(np.stack([np.minimum(doc[i], doc[j])[fit], np.maximum(doc[i], doc[j])[fit]]))
+            if found:
+                pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    near = open_rows.where(F.col("k") <= LARGE).drop("k").join(signed, "doc").select("key", "doc", "n", "comp", "bits")
+    met = near.repartition("key").sortWithinPartitions("key").mapInArrow(runs, "a long, b long")
+    large = open_rows.where(F.col("k") > LARGE)
+    if large.isEmpty():
+        return met.distinct()
+    # a large tile's members meet block by block: a member of block i goes to all (i, j) with
+    # i <= j and (j, i) with j < i, in its own size band and the next
     blocks = F.ceil(F.col("k") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     size_band = F.floor(F.log(F.greatest("n", F.lit(1))) / math.log(100 / PERCENT) + 1e-9).cast("int")
     spread = (
-        open_rows.withColumn("own", own)
+        large.withColumn("own", own)
         .withColumn("tile", F.explode(F.array(size_band, size_band + 1)))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "n", "comp")
+        .select("key", "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "n", "comp")
         .join(signed, "doc")
     )
 
@@ -309,8 +348,8 @@ def _rest_pairs(tiles: DataFrame, found: DataFrame, docs: DataFrame, words: int)
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)}, schema=none.schema) if a else none
 
     none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    met = spread.groupBy("key", "tile", "i", "j").applyInArrow(meet, "a long, b long")
-    return met.where("a < b").distinct()
+    blocked = spread.groupBy("key", "tile", "i", "j").applyInArrow(meet, "a long, b long")
+    return met.union(blocked.where("a < b")).distinct()
 
 
 # -- the operator --------------------------------------------------------------------
