@@ -6,7 +6,6 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,11 +22,18 @@ def normalise(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else normal_text(t))
 
 
-def char_grams(text: Column, n: int) -> Column:
-    """Distinct character n-grams; a text of at most n characters is its one gram."""
-    chars = F.split(text, "")
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(chars, i, n), ""))
-    return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(
-        F.array_distinct(grams)
-    )
+def char_grams(n: int):
+    """Arrow UDF: sorted distinct character n-grams of the normalised text.
+
+    A text of at most n characters is its one gram; empty and null texts have none.
+    """
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def grams(texts: pd.Series) -> pd.Series:
+        def one(text: str | None) -> list[str]:
+            plain = normal_text(text or "")
+            return sorted({plain[i : i + n] for i in range(max(1, len(plain) - n + 1))}) if plain else []
+
+        return texts.map(one)
+
+    return grams

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import char_grams, normalise
+from ..functions.text import char_grams
 from .common import settled
 
 
@@ -18,8 +18,7 @@ def candidates(docs: DataFrame, member: str, text: str, n: int = 3, threshold: f
     """
     if not 0 < threshold <= 1 or n < 1:
         raise ValueError("threshold must be in (0, 1] and n positive")
-    plain = docs.select(F.col(member).alias("id"), normalise(text).alias("plain"))
-    grams = plain.select("id", char_grams(F.col("plain"), n).alias("grams")).where(F.size("grams") > 0)
+    grams = docs.select(F.col(member).alias("id"), char_grams(n)(text).alias("grams")).where(F.size("grams") > 0)
     sized = settled(grams.withColumn("size", F.size("grams")))
     posted = sized.select("id", "size", F.explode("grams").alias("gram"))
     frequency = posted.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
