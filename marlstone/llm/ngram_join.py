@@ -163,6 +163,8 @@ def _merged_sketch(parts: DataFrame) -> np.ndarray:
     once = parts.withColumn("part", F.pmod(F.monotonically_increasing_id() / (1 << 33), F.lit(64)).cast("int"))
     some = once.groupBy("chunk", "part").applyInArrow(add, "chunk int, counts binary")
     rows = some.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect()
+    if not rows:  # no input partition at all
+        return np.zeros(1 << SKETCH_BITS, np.int32)
     return np.concatenate([np.frombuffer(bytes(r.counts), np.int32) for r in sorted(rows, key=lambda r: r.chunk)])
 
 

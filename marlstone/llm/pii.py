@@ -207,8 +207,15 @@ def find_personal_data(
             "_row_id",
             "_row_key",
             _entity(F.col("span")).alias("entity"),
-            F.substring(F.col("_text"), F.greatest(F.col("span.start") - REACH + 1, F.lit(1)), F.least(F.col("span.start"), F.lit(REACH))).alias("left"),
-            F.substring(F.col("_text"), F.col("span.end") + 1, F.lit(REACH)).alias("right"),
+            # a space stands for the text's edge, where no word is cut
+            F.concat(
+                F.when(F.col("span.start") <= REACH, F.lit(" ")).otherwise(F.lit("")),
+                F.substring(F.col("_text"), F.greatest(F.col("span.start") - REACH + 1, F.lit(1)), F.least(F.col("span.start"), F.lit(REACH))),
+            ).alias("left"),
+            F.concat(
+                F.substring(F.col("_text"), F.col("span.end") + 1, F.lit(REACH)),
+                F.when(F.length("_text") <= F.col("span.end") + REACH, F.lit(" ")).otherwise(F.lit("")),
+            ).alias("right"),
         ),
         "pii-held",
     )
