@@ -34,7 +34,7 @@ from .common import small_batches
 CAP = 2048
 END_ID = 1
 MAX_OPEN = 8192
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -124,6 +124,7 @@ def pack(documents: Iterator[tuple[int | None, np.ndarray]], first: int, cap: in
 # -- ids -----------------------------------------------------------------------------
 #: Outside these, lower case and composition are left to the tokenizers library.
 _ODD = re.compile("[^\\x00-\\x1b\\x20-ɏ‐-‧€]")
+_ENDS = ".,;:!?"
 _SEPARATORS = re.compile("[\\x1c-\\x1f]")
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
@@ -161,7 +162,7 @@ class WordEncoder:
         ranks |= {bytes([b]) + b"\n": 256 + b for b in range(256)}
         for left, right in merges:
             ranks.setdefault(raw(left + right), len(ranks))
-        self.id_of = np.zeros(len(ranks), np.uint32)
+        self.id_of = [0] * len(ranks)
         for token, number in model["vocab"].items():
             if not (token.startswith("<|") and token.endswith("|>")):
                 self.id_of[ranks[raw(token)]] = number
@@ -173,14 +174,22 @@ class WordEncoder:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def part(self, part: str) -> tuple[int, ...]:
-        plain = part if part.isascii() else unicodedata.normalize("NFC", part)
-        if _ODD.search(plain):
-            return tuple(self.by_library(part))
+        plain = part
+        if not part.isascii():
+            plain = unicodedata.normalize("NFC", part)
+            if _ODD.search(plain):
+                return tuple(self.by_library(part))
         plain = plain.lower()
-        words = plain if plain.isalpha() else "\n".join(self.words.findall(plain))
-        if not words:
-            return ()
-        return tuple(self.id_of[self.merger.encode_ordinary(words + "\n")].tolist())
+        if not plain.isalpha():
+            core = plain.rstrip(_ENDS)
+            if core != plain and core.isalpha():  # a word and marks: each has its own entry
+                return self.parts[core] + self.parts[plain[len(core) :]]
+            plain = "\n".join(self.words.findall(plain))
+            if not plain:
+                return ()
+        elif plain != part:
+            return self.parts[plain]
+        return tuple(map(self.id_of.__getitem__, self.merger.encode_ordinary(plain + "\n")))
 
     def encode(self, text: str, end_id: int = END_ID) -> np.ndarray:
         if _SEPARATORS.search(text):  # white space to str.split, but not to the library
