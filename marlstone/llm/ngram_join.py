@@ -117,7 +117,7 @@ def band(n):
 
 
 # -- first pass ----------------------------------------------------------------------
-_FIRST = "doc_id long, n int, d1 long, d2 long, chunk int, counts binary"
+_FIRST = "doc_id long, n int, d1 long, d2 long, bits binary, chunk int, counts binary"
 
 
 def _first_pass(docs: DataFrame, words: int) -> DataFrame:
@@ -126,11 +126,12 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(size, np.int32)
         for batch in batches:
-            sizes, sums, cells = [], [], []
+            sizes, sums, maps, cells = [], [], [], []
             for text in batch.column(1):
                 x = shingles(text.as_py(), words)
                 cells.append((x & np.uint64(size - 1)).astype(np.int64))
                 sizes.append(len(x))
+                maps.append(bitmap(x).tobytes())
                 # two sums of independent mixes: 128 bits for a set
                 sums.append((int(x.sum()) & _MASK, int(_mix(x ^ np.uint64(_MASK)).sum()) & _MASK))
             if cells:
@@ -138,12 +139,12 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
             k = len(sizes)
             d = np.array(sums, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array(maps, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
                 names,
             )
         k = size // chunk
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(range(k), pa.int32()), pa.array([sketch[i * chunk : (i + 1) * chunk].tobytes() for i in range(k)], pa.binary())],
+            [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array([sketch[i * chunk : (i + 1) * chunk].tobytes() for i in range(k)], pa.binary())],
             names,
         )
 
@@ -231,6 +232,9 @@ def _tiles(postings: DataFrame) -> DataFrame:
         b = band(n)
         order = np.lexsort((doc, b, key))
         key, doc, n, b = key[order], doc[order], n[order], b[order]
+        once = np.ones(len(key), bool)  # rows repeated with their doc_id post once
+        once[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (n[1:] != n[:-1])
+        key, doc, n, b = key[once], doc[once], n[once], b[once]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (b[1:] != b[:-1])
         lead = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
@@ -272,8 +276,11 @@ def _check_pairs(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _rest_pairs(tiles: DataFrame, found: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """Pairs of different components that share a tile and pass the bitmap bound."""
+def _rest_pairs(tiles: DataFrame, found: DataFrame, signed: DataFrame) -> DataFrame:
+    """Pairs of different components that share a tile and pass the bitmap bound.
+
+    ``signed`` has the bitmap of each set: doc, n, bits.
+    """
     comp = found.select(F.col("id").alias("doc"), F.col("component").alias("comp"))
     rows = tiles.select("key", "doc", "n").join(comp, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"))
@@ -281,14 +288,7 @@ def _rest_pairs(tiles: DataFrame, found: DataFrame, docs: DataFrame, words: int)
     open_rows = cut(rows.join(mixed, "key"), "open-tiles")
     if open_rows.isEmpty():
         return open_rows.select(F.col("doc").alias("a"), F.col("doc").alias("b"))
-    ids = open_rows.select(F.col("doc").alias("doc_id")).distinct()
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            maps = [bitmap(shingles(t.as_py(), words)).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(maps, pa.binary())], ["doc", "bits"])
 
-    signed = _texts_of(docs, cut(ids, "ids")).select("doc_id", "text").mapInArrow(sign, "doc long, bits binary")
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in _whole_runs(batches):
             key, doc, n, comp = (whole.column(c).to_numpy() for c in ("key", "doc", "n", "comp"))
@@ -311,7 +311,7 @@ def _rest_pairs(tiles: DataFrame, found: DataFrame, docs: DataFrame, words: int)
                 pairs = np.unique(np.concatenate(found, axis=1), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
-    near = open_rows.where(F.col("k") <= LARGE).drop("k").join(signed, "doc").select("key", "doc", "n", "comp", "bits")
+    near = open_rows.where(F.col("k") <= LARGE).drop("k").join(signed, ["doc", "n"]).select("key", "doc", "n", "comp", "bits")
     met = near.repartition("key").sortWithinPartitions("key").mapInArrow(runs, "a long, b long")
     large = open_rows.where(F.col("k") > LARGE)
     if large.isEmpty():
@@ -326,7 +326,7 @@ def _rest_pairs(tiles: DataFrame, found: DataFrame, docs: DataFrame, words: int)
         .withColumn("tile", F.explode(F.array(size_band, size_band + 1)))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("key", "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "n", "comp")
-        .join(signed, "doc")
+        .join(signed, ["doc", "n"])
     )
 
     def meet(table: pa.Table) -> pa.Table:
@@ -364,6 +364,7 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
     sketch = spark.sparkContext.broadcast(_merged_sketch(first.where("chunk is not null").select("chunk", "counts")))
     sets = first.where("chunk is null").select("doc_id", "n", "d1", "d2")
     named = sets.where("doc_id is not null and n > 0")
+    signed = first.where("doc_id is not null and n > 0").select(F.col("doc_id").alias("doc"), "n", "bits").dropDuplicates()
     # salted before whole, so that a group of very many equal sets is combined in parts
     least = (
         named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")).where("k > 1")
@@ -382,7 +383,7 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
     pairs = cut(star.distinct(), "pairs")
     links = cut(_check_pairs(pairs, reps, words), "links")
     found = cut(components(links), "components")
-    rest = cut(_rest_pairs(tiles, found, reps, words).join(pairs, ["a", "b"], "left_anti"), "rest")
+    rest = cut(_rest_pairs(tiles, found, signed).join(pairs, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = cut(links.union(_check_pairs(rest, reps, words)), "links")
     drop(tiles)
