@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import json_tree
 from ..functions import scan as scanning
 from ..functions.jcs import id_of, json_string, obj, sha
 from ..operators import audit, episodes, evaluation, ledger, selection, similarity
+from ..sources import adapters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -447,3 +449,29 @@ def loss_mask_spans(spark, sf_dir):
     ids = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda x: (F.col("doc_id") % 97 + x).cast("int"))
     start = F.col("doc_id") % 5
     return docs.select("doc_id", F.array_join(ledger.loss_labels(ids, start, start + 4).cast("array<string>"), ",").alias("labels"))
+
+
+@query("SELECT event_id, '/' || k AS pointer, props ->> k AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)")
+def json_leaf_pointers(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", F.explode(json_tree.leaf_rows(F.col("props"))).alias("leaf"))
+    return rows.select("event_id", "leaf.pointer", "leaf.value")
+
+
+@query("""
+    WITH c AS (
+        SELECT doc_id, text, CASE lang WHEN 'en' THEN 'clarification' WHEN 'fr' THEN 'tool_unavailable' WHEN 'de' THEN 'direct_answer' ELSE lang END AS act,
+               coalesce(text, '') <> '' AS asked FROM documents)
+    SELECT doc_id,
+           CASE WHEN asked AND act IN ('clarification', 'tool_unavailable', 'direct_answer') THEN CAST(doc_id AS VARCHAR) END AS source_conversation_id,
+           CASE WHEN asked AND act IN ('clarification', 'tool_unavailable', 'direct_answer') THEN act END AS action,
+           CASE WHEN text IS NULL THEN 'SOURCE_ADAPTER_MISSING_FIELD'
+                WHEN NOT asked OR act NOT IN ('clarification', 'tool_unavailable', 'direct_answer') THEN 'SOURCE_ADAPTER_INVALID_FIELD' END AS code,
+           CASE WHEN NOT asked THEN '/query' WHEN act NOT IN ('clarification', 'tool_unavailable', 'direct_answer') THEN '/action' END AS pointer
+    FROM c""")
+def adapted_records(spark, sf_dir):
+    """Documents as records without calls: the language picks the action, one of them is not allowed."""
+    lang = F.col("lang")
+    action = F.when(lang == "en", "clarification").when(lang == "fr", "tool_unavailable").when(lang == "de", "direct_answer").otherwise(lang)
+    record = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("query"), F.col("source").alias("response"), action.alias("action")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", adapters.adapt(record, "no_tool").alias("a"))
+    return rows.select("doc_id", "a.source_conversation_id", "a.action", "a.code", "a.pointer")
