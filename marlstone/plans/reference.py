@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import json_tree
 from ..functions import scan as scanning
 from ..functions.jcs import id_of, json_string, obj, sha
-from ..operators import audit, episodes, evaluation, ledger, selection, similarity
+from ..operators import audit, episodes, evaluation, evidence, ledger, selection, similarity
 from ..sources import adapters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -475,3 +475,44 @@ def adapted_records(spark, sf_dir):
     record = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("query"), F.col("source").alias("response"), action.alias("action")))
     rows = table(spark, sf_dir, "documents").select("doc_id", adapters.adapt(record, "no_tool").alias("a"))
     return rows.select("doc_id", "a.source_conversation_id", "a.action", "a.code", "a.pointer")
+
+
+@query("""
+    WITH t AS (SELECT conv_id, max(turn) AS target FROM conversations GROUP BY conv_id),
+    e AS (
+        SELECT t.conv_id, t.conv_id % 7 AS kind, max(c.role) FILTER (WHERE c.turn = t.conv_id % 4 AND c.turn < t.target) AS r
+        FROM t JOIN conversations c USING (conv_id) GROUP BY t.conv_id),
+    s AS (
+        SELECT conv_id, CASE kind WHEN 0 THEN r = 'user' WHEN 1 THEN r = 'tool' WHEN 2 THEN r = 'system' WHEN 3 THEN r IS NOT NULL
+                                  WHEN 4 THEN r IS NOT NULL WHEN 5 THEN false ELSE true END AS ok, kind FROM e)
+    SELECT conv_id, CASE WHEN NOT coalesce(ok, false) THEN 'deterministic_fail' WHEN kind IN (4, 6) THEN 'needs_semantic_review' ELSE 'deterministic_pass' END AS result,
+           1::BIGINT AS n_arguments FROM s""")
+def argument_grounding(spark, sf_dir):
+    """One argument for each conversation, its evidence in one of the first four turns; every seventh has none."""
+    turns = table(spark, sf_dir, "conversations")
+    listed = F.array_sort(F.collect_list(F.struct("turn", "role")))
+    contexts = turns.groupBy(F.col("conv_id").alias("episode")).agg(F.transform(listed, lambda x: x["role"]).alias("roles"), F.max("turn").alias("target"))
+    keys = contexts.select("episode", F.lit("c").alias("call_id"), F.lit("/x").alias("argument_pointer"))
+    kind = F.col("episode") % 7
+    origins = ("explicit_user", "tool_result", "system_context", "prior_turn", "derived", "must_not_infer")
+    place = F.array(F.concat(F.lit("/conversation/"), (F.col("episode") % 4).cast("string"), F.lit("/content")))
+    given = keys.where(kind < 6).withColumns({
+        "origin": F.get(F.array(*map(F.lit, origins)), kind.cast("int")), "evidence_pointers": place, "input_pointers": place, "resolves": F.lit(True),
+    })
+    found = evidence.outcomes(evidence.grounding(keys, given, contexts))
+    return found.select(F.col("episode").alias("conv_id"), "n_arguments", "result")
+
+
+@query("""
+    SELECT doc_id AS request_id, 's' AS segment_id, CASE doc_id % 5 WHEN 1 THEN 'missing' WHEN 2 THEN 'extra' WHEN 3 THEN 'not_composed' ELSE 'protected_marks' END AS problem
+    FROM documents WHERE doc_id % 5 <> 0""")
+def translation_contract(spark, sf_dir):
+    """Each document's source between two marks; four of five answers break the contract in turn."""
+    kind = F.col("doc_id") % 5
+    source = F.concat(F.lit("⟪S1_P1⟫ "), "source", F.lit(" ⟪S1_P2⟫"))
+    target = F.when(kind == 3, F.concat(source, F.lit("é"))).when(kind == 4, F.concat(source, F.lit("⟪S1_P1⟫"))).otherwise(F.concat(source, F.lit("!")))
+    docs = table(spark, sf_dir, "documents")
+    keys = (F.col("doc_id").alias("request_id"), F.lit("s").alias("segment_id"))
+    asked = docs.where(kind != 2).select(*keys, source.alias("source_text"))
+    answers = docs.where(kind != 1).select(*keys, target.alias("target_text"))
+    return evidence.contract_problems(asked, answers)
