@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -83,7 +84,7 @@ def sequences(texts: Iterator[tuple], encode, length: int, end_id: int) -> Itera
     """(ids uint16, real ids, doc_ids, start of the first document's part) of a stream."""
     held, docs, start = np.empty(0, np.uint16), [], 0
     for doc, text in texts:
-        ids = np.array([*encode(text), end_id], np.uint16)
+        ids = np.fromiter(itertools.chain(encode(text), (end_id,)), np.uint16)
         at = 0
         while at < len(ids):
             if not docs:
@@ -168,14 +169,15 @@ def materialise(
 
         for b in batches:
             slots = b.column("slot").to_numpy()
-            for slot, ids in zip(slots, b.column("ids"), strict=True):
+            crc = []
+            for slot, ids in zip(slots, b.column("ids").to_pylist(), strict=True):
                 if slot // rows != now:
                     close()
                     store.create_dir(root)
                     now = int(slot // rows)
                     sink = store.open_output_stream(f"{root}/_{now:08d}-{attempt}")
-                sink.write(ids.as_py())
-            crc = [zlib.crc32(x.as_py()) for x in b.column("ids")]
+                sink.write(ids)
+                crc.append(zlib.crc32(ids))
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("slot"),
