@@ -46,8 +46,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _multi_counts(texts: list[str]) -> list[int]:
-    own = bpe_codec.codec()
-    return [len(own.encode(text)) for text in texts]
+    encode = training_order.encoder(bpe_codec.rank_file()).encode_ordinary
+    return [len(encode(text)) for text in texts]
 
 
 def _plain_counts(texts: list[str]) -> list[int]:

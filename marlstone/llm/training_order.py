@@ -44,6 +44,7 @@ SCHEMA = (
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str | None = None):
+    """The library's encoding of a rank file, one for each worker process."""
     import public_tokenizers
     import tiktoken
 
