@@ -16,115 +16,53 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.jcs import CanonicalError, canonical
+from ..functions.jcs import CanonicalError
+from . import decisions, typed_calls
+from .adapter_base import INVALID, TEXT_ACTIONS, AdapterError, call_of, demand, native_id, text_field, tools_of, two_turns
 
-MISSING, INVALID = "SOURCE_ADAPTER_MISSING_FIELD", "SOURCE_ADAPTER_INVALID_FIELD"
-#: The actions of records without calls.
-TEXT_ACTIONS = ("clarification", "direct_answer", "tool_unavailable")
-_MESSAGE = ("role", "content", "reasoning_content", "thinking", "tool_calls", "images", "name", "tool_call_id")
 SCHEMA = (
     "source_conversation_id string, conversation string, tools string, action string, target_message_index int, "
     "observed_paths array<string>, code string, pointer string, message string"
 )
-_NAMES = [field.split()[0] for field in SCHEMA.split(", ")]
-
-
-class AdapterError(ValueError):
-    def __init__(self, code: str, pointer: str, message: str) -> None:
-        super().__init__(message)
-        self.row = {"code": code, "pointer": pointer, "message": message}
-
-
-def _demand(holds: bool, pointer: str, message: str, code: str = INVALID) -> None:
-    if not holds:
-        raise AdapterError(code, pointer, message)
-
-
-def _filled(value: object) -> bool:
-    return isinstance(value, str) and value != ""
-
-
-def _text(record: dict, key: str) -> str:
-    _demand(key in record, f"/{key}", f"{key} is missing", MISSING)
-    _demand(_filled(record[key]), f"/{key}", f"{key} is not a filled string")
-    return record[key]
-
-
-def _id(record: dict) -> str:
-    found = record.get("id")
-    _demand(isinstance(found, (str, int)) and found != "", "/id", "no conversation id", MISSING)
-    return str(found)
-
-
-def tools_of(listed: object, at: str = "/tools") -> list[dict]:
-    """Function tools, bare or wrapped in {type, function}."""
-    _demand(isinstance(listed, list), at, "tools are not an array")
-    out = []
-    for i, tool in enumerate(listed):
-        here = f"{at}/{i}"
-        _demand(isinstance(tool, dict), here, "a tool is not an object")
-        wrapped = "function" in tool
-        body = tool["function"] if wrapped else tool
-        _demand(isinstance(body, dict) and (not wrapped or tool.get("type", "function") == "function"), here, "not a function tool")
-        own = {key: body.get(key) for key in ("name", "description", "parameters", "strict")}
-        _demand(_filled(own["name"]) and isinstance(own["parameters"], dict), here, "a tool has no name or no parameters")
-        _demand(isinstance(own["description"], (str, type(None))), here, "a description is no text")
-        _demand(isinstance(own["strict"], (bool, type(None))), here, "strict is no boolean")
-        out.append({"type": "function", "function": own})
-    return out
-
-
-def _call(call: object, here: str) -> dict:
-    fits = isinstance(call, dict) and _filled(call.get("id")) and _filled(call.get("name")) and isinstance(call.get("arguments"), dict)
-    _demand(fits, here, "a call has no id, no name or no arguments")
-    return {"id": call["id"], "type": "function", "function": {"name": call["name"], "arguments": call["arguments"]}}
-
-
-def _turn(**given: object) -> dict:
-    return dict.fromkeys(_MESSAGE) | given
-
-
-def _found(record: dict, query: str, answer: dict, tools: list[dict], action: str, paths: tuple[str, ...]) -> dict:
-    return {
-        "source_conversation_id": _id(record),
-        "conversation": canonical([_turn(role="user", content=query), _turn(role="assistant", **answer)]),
-        "tools": canonical(tools),
-        "action": action,
-        "target_message_index": 1,
-        "observed_paths": [f"/{path}" for path in paths],
-    }
+FIELDS = [field.split()[0] for field in SCHEMA.split(", ")]
 
 
 def xlam(record: dict) -> dict:
     """id, query, tools and at least one of tool_calls."""
-    _id(record)
-    query = _text(record, "query")
+    native_id(record)
+    query = text_field(record, "query")
     tools = tools_of(record.get("tools"))
     calls = record.get("tool_calls")
-    _demand(isinstance(calls, list) and len(calls) > 0, "/tool_calls", "no calls")
-    made = [_call(call, f"/tool_calls/{i}") for i, call in enumerate(calls)]
-    return _found(record, query, {"tool_calls": made}, tools, "tool_call", ("id", "query", "tools", "tool_calls"))
+    demand(isinstance(calls, list) and len(calls) > 0, "/tool_calls", "no calls")
+    made = [call_of(call, f"/tool_calls/{i}") for i, call in enumerate(calls)]
+    return two_turns(record, query, {"tool_calls": made}, tools, "tool_call", ("id", "query", "tools", "tool_calls"))
 
 
 def no_tool(record: dict) -> dict:
     """id, query, response, action and perhaps tools."""
-    _id(record)
-    query, response = _text(record, "query"), _text(record, "response")
+    native_id(record)
+    query, response = text_field(record, "query"), text_field(record, "response")
     action = record.get("action")
-    _demand(action in TEXT_ACTIONS if isinstance(action, str) else False, "/action", f"action is none of {', '.join(TEXT_ACTIONS)}")
+    demand(action in TEXT_ACTIONS if isinstance(action, str) else False, "/action", f"action is none of {', '.join(TEXT_ACTIONS)}")
     tools = tools_of(record.get("tools", []))
     paths = ("id", "query", "response", "action", *(("tools",) if "tools" in record else ()))
-    return _found(record, query, {"content": response}, tools, action, paths)
+    return two_turns(record, query, {"content": response}, tools, action, paths)
 
 
-ADAPTERS: dict[str, Callable[[dict], dict]] = {"no_tool": no_tool, "xlam": xlam}
+ADAPTERS: dict[str, Callable[[dict], dict]] = {
+    "no_tool": no_tool,
+    "when2call": decisions.benchmark,
+    "when2call_training": decisions.training,
+    "xlam": xlam,
+    "xlam60k": typed_calls.typed_calls,
+}
 
 
 def adapt_text(text: str | None, name: str) -> dict:
-    row = dict.fromkeys(_NAMES)
+    row = dict.fromkeys(FIELDS)
     try:
         record = json.loads(text) if text is not None else None
-        _demand(isinstance(record, dict), "", "not an object", "SCHEMA_EXPECTED_OBJECT")
+        demand(isinstance(record, dict), "", "not an object", "SCHEMA_EXPECTED_OBJECT")
         return row | ADAPTERS[name](record)
     except AdapterError as error:
         return row | error.row
@@ -139,6 +77,6 @@ def adapt(record: Column, name: str) -> Column:
         raise ValueError(f"unknown adapter {name!r}; known: {', '.join(ADAPTERS)}")
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([adapt_text(text, name) for text in texts], columns=_NAMES)
+        return pd.DataFrame([adapt_text(text, name) for text in texts], columns=FIELDS)
 
     return F.pandas_udf(run, SCHEMA)(record)
