@@ -39,14 +39,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut(df: DataFrame, name: str = "cut", **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
     A lost executor then costs a re-read, never a recomputation.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._marlstone_path = path
     return out

@@ -9,8 +9,9 @@ is a bijection, so every slot is taken once, without a sort.  Shard s holds the
 a reader finds slot t at byte (t % rows) * length * 2 of shard t // rows, and resumes
 there.
 
-The documents are tokenised twice (once to count), which is cheaper here than to keep
-their ids.  Shards are written under another name and then moved, so a repeated task
+Slots need the number of all sequences, so a first pass tokenises every document.  Of
+every ``KEEP_EVERY``-th partition it keeps the sequences in a table; the documents of the
+others are tokenised again, which saves that much disk.  Shards are written under another name and then moved, so a repeated task
 leaves the same files.  ``docs`` must come from files, for both passes to see the same
 partitions.
 
@@ -32,15 +33,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, small_batches
+from .common import cut, new_path, small_batches
 
 LENGTH = 1024
 ROWS = 4096
 END_ID = 50256
+#: Of this many partitions, one's sequences are kept by the first pass: 1 tokenises once, for the most disk.
+KEEP_EVERY = 2
 SCHEMA = (
     "slot long, sequence long, shard int, byte_offset long, n_tokens int, doc_ids array<long>, first_start long, crc32 long"
 )
 
+_MADE = "part int, number long, ids binary, n_tokens int, doc_ids array<long>, first_start long"
+_MADE_NAMES = [f.split()[0] for f in _MADE.split(", ")]
+
+
+def _made_schema() -> pa.Schema:
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.int64())
+    return pa.schema(list(zip(_MADE_NAMES, kinds, strict=True)))
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str | None = None):
@@ -107,6 +118,7 @@ def materialise(
     tokenizer_path: str | None = None,
     length: int = LENGTH,
     rows: int = ROWS,
+    keep_every: int = KEEP_EVERY,
 ) -> DataFrame:
     """Write the shards to ``path`` and return a row of SCHEMA for each sequence."""
     spark = docs.sparkSession
@@ -114,27 +126,16 @@ def materialise(
     path = path or new_path(spark, "shards")
     slim = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode_ordinary
-        n = sum(len(encode(t.as_py() or "")) + 1 for b in batches for t in b.column(1))
-        part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([-(-n // length)])], ["part", "n"])
-
-    # one small row for each partition
-    counts = {r.part: r.n for r in slim.mapInArrow(count, "part long, n long").collect()}
-    first, total = {}, 0
-    for part in sorted(counts):
-        first[part] = total
-        total += counts[part]
-    starts = spark.sparkContext.broadcast(first)
-    order = Feistel(total, key)
+    def kept(part: int) -> bool:
+        return part % keep_every == 0
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode_ordinary
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sequences of this partition, numbered from 0."""
+        encode, part = encoder(tokenizer_path).encode_ordinary, TaskContext.get().partitionId()
         texts = ((d.as_py(), t.as_py() or "") for b in batches for d, t in zip(*b.columns, strict=True))
-        number, out = starts.value[TaskContext.get().partitionId()], []
+        number, out = 0, []
         for item in sequences(texts, encode, length, END_ID):
-            out.append((number, *item))
+            out.append((part, number, *item))
             number += 1
             if len(out) == 1000:
                 yield batch(out)
@@ -143,18 +144,50 @@ def materialise(
             yield batch(out)
 
     def batch(out: list[tuple]) -> pa.RecordBatch:
-        numbers = np.array([x[0] for x in out], np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(order(numbers)),
-                pa.array(numbers),
-                pa.array([x[1].astype("<u2").tobytes() for x in out], pa.binary()),
-                pa.array([x[2] for x in out], pa.int32()),
-                pa.array([x[3] for x in out], pa.list_(pa.int64())),
-                pa.array([x[4] for x in out], pa.int64()),
-            ],
-            ["slot", "sequence", "ids", "n_tokens", "doc_ids", "first_start"],
-        )
+        parts, numbers, ids, sizes, docs, starts = zip(*out, strict=True)
+        columns = [
+            pa.array(parts, pa.int32()),
+            pa.array(numbers, pa.int64()),
+            pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary()),
+            pa.array(sizes, pa.int32()),
+            pa.array(docs, pa.list_(pa.int64())),
+            pa.array(starts, pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, _MADE_NAMES)
+
+    def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sequences, or one row with the number of sequences only."""
+        part = TaskContext.get().partitionId()
+        if kept(part):
+            yield from made(batches)
+            return
+        encode = encoder(tokenizer_path).encode_ordinary
+        n = sum(len(encode(t.as_py() or "")) + 1 for b in batches for t in b.column(1))
+        row = [[part], [-(-n // length)], [None], [0], [None], [0]]
+        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _made_schema(), strict=True)], _MADE_NAMES)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not kept(TaskContext.get().partitionId()):
+            yield from made(batches)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = starts.value
+        for b in batches:
+            base = np.array([first[part] for part in b.column("part").to_pylist()], np.int64)
+            numbers = base + b.column("number").to_numpy()
+            columns = [pa.array(order(numbers)), pa.array(numbers), *b.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["slot", "sequence", *_MADE_NAMES[2:]])
+
+    table = cut(slim.mapInArrow(first_pass, _MADE), "sequences", compression="zstd")
+    size = F.when(F.col("ids").isNull(), F.col("number")).otherwise(1)
+    # one small row for each partition
+    counts = {r.part: r.n for r in table.groupBy("part").agg(F.sum(size).alias("n")).collect()}
+    first, total = {}, 0
+    for part in sorted(counts):
+        first[part] = total
+        total += counts[part]
+    starts = spark.sparkContext.broadcast(first)
+    order = Feistel(total, key)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -194,7 +227,9 @@ def materialise(
             )
         close()
 
-    placed = slim.mapInArrow(
+    # the documents come first, so that their partitions have the numbers of the first pass
+    streams = slim.mapInArrow(again, _MADE).unionByName(table.where("ids is not null"))
+    placed = streams.mapInArrow(
         place, "slot long, sequence long, ids binary, n_tokens int, doc_ids array<long>, first_start long"
     )
     shards = max(1, -(-total // rows))

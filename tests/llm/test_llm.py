@@ -188,6 +188,11 @@ def test_training_order(spark, tmp_path):
     stream = [x for r in sorted(rows, key=lambda r: r.sequence) for x in read[r.slot][: r.n_tokens].tolist()]
     assert stream.count(training_order.END_ID) == 51
     assert [x.tolist() for x in training_order.read_slots(path, 5, 9, 16, 8)] == [x.tolist() for x in read[5:14]]
+    for every in (1, 1000):
+        again = f"file://{tmp_path}/again{every}"
+        assert sorted(training_order.materialise(docs, path=again, length=16, rows=8, keep_every=every).collect()) == sorted(rows)
+        assert [x.tolist() for x in training_order.read_slots(again, 0, len(rows), 16, 8)] == [x.tolist() for x in read]
+    assert training_order.materialise(docs.limit(0), path=f"file://{tmp_path}/none").count() == 0
 
 
 def test_resampling(spark):
