@@ -377,6 +377,19 @@ def security_abbreviations(spark, sf_dir):
     return rows.select("doc_id", F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("abbreviations"))
 
 
+#: Word edges as the reference has them (letters, numbers, underscore; a combining mark is an edge).  The digit
+#: beyond the BMP, itself a number, makes Java look behind by code points.
+_ABBREVIATION = "(?<![\\p{L}\\p{N}_\U0001d7ff])[A-Z][A-Z0-9]{1,9}(?![\\p{L}\\p{N}_])"
+
+
+@query()
+def security_abbreviations_all(spark, sf_dir):
+    """Upper-case abbreviations of every document; null text counts as empty."""
+    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_ABBREVIATION), F.lit(0))
+    rows = table(spark, sf_dir, "documents")
+    return rows.select("doc_id", F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("abbreviations"))
+
+
 @query("""
     WITH h AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seq,
                       sha256(event_id || '/' || event_type) AS event_hash FROM events),

@@ -1,9 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from marlstone.operators import audit, evaluation, ledger, selection, similarity
+from marlstone.plans import reference
 from marlstone.sources import jsonl
 
 
@@ -65,3 +67,13 @@ def test_ledger(spark):
     got = {(r.k, r.seq): (r.sequence_ok, r.link_ok) for r in ledger.verify_chain(log, "k", "seq", "h", "p").collect()}
     assert got == {("k", 1): (True, True), ("k", 2): (True, True), ("k", 3): (True, False), ("j", 2): (False, True)}
     assert {(r.k, r.seq) for r in ledger.latest(log, "k", "seq").collect()} == {("k", 3), ("j", 2)}
+
+
+def test_abbreviations_of_every_text(spark, tmp_path):
+    edges = ["é", "ß", "\u0301", "·", "²", "Ⅷ", "_", "日", "🙂", "𝒜", "٣", "\u200d", "a", "1", " "]
+    texts = [f"{a}API{b}B2 {b}API2{a}" for a in edges for b in edges] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = {i: ",".join(sorted(set(re.findall(r"\b[A-Z][A-Z0-9]{1,9}\b", t or "")))) for i, t in enumerate(texts)}
+    got = reference.QUERIES["security_abbreviations_all"](spark, str(tmp_path)).collect()
+    assert len(got) == len(texts) and {r.doc_id: r.abbreviations for r in got} == want
