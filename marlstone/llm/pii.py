@@ -1,15 +1,15 @@
 """Information-theoretic sanitisation of personal data, JVM expressions only.
 
 Base kinds (email, ip, card, phone) are patterns with checks.  Their values are the
-protected entities.  Over the whole corpus, the words that stand within ``REACH``
-characters of an entity are counted, once for each different context, so that copies of a
-document tell nothing new.  With W words in the corpus, n(t) of term t, n(e) contexts of
-entity e and n(e, t) of them with t,
+protected entities.  Over the different texts of the corpus, so that copies of a document tell
+nothing new, the words that stand within ``REACH`` characters of an entity are counted.
+With W words in these texts, n(t) of term t, n(e) spans of entity e and n(e, t) of them
+with t,
 
     PMI(e; t) = ln(n(e, t) W / (n(e) n(t))),   IC(e) = ln(W / n(e)),
 
 and PMI = IC means that t occurs nowhere but next to e.  A term with at least ``support``
-shared contexts and PMI >= ``generalise`` * IC discloses e: in documents that hold e it
+different shared contexts and PMI >= ``generalise`` * IC discloses e: in documents that hold e it
 is generalised to [TERM], and removed from ``remove`` * IC on.
 
 Spans are code points, end exclusive.  Positions come from the gaps and the matches of
@@ -146,39 +146,53 @@ def _is_term(term: Column) -> Column:
     return term.rlike(r"^\p{L}[\p{L}\p{N}_-]{2,}$")
 
 
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def disclosing_terms(
     docs: DataFrame, found: DataFrame, support: int, generalise: float, remove: float
 ) -> DataFrame | None:
     """(entity, term, removed) over the whole corpus; None where nothing has support.
 
-    ``found`` has a row (entity, left, right) for each span: the text beside it.
+    ``found`` has a row (entity, left, right) for each span of each different text.
     """
-    contexts = found.groupBy("entity", "left", "right").agg(F.lit(1).alias("one")).drop("one")
-    near = contexts.select(
+    near = found.select(
         "entity",
+        F.xxhash64("left", "right").alias("context"),
         F.explode(
             F.array_distinct(
-                F.concat(
-                    words_of(F.regexp_replace("left", f"^[^{WS}]+", "")),
-                    words_of(F.regexp_replace("right", f"[^{WS}]+\\z", "")),
+                F.transform(
+                    F.concat(
+                        words_of(F.regexp_replace("left", f"^[^{WS}]+", "")),
+                        words_of(F.regexp_replace("right", f"[^{WS}]+\\z", "")),
+                    ),
+                    _term,
                 )
             )
-        ).alias("word"),
-    ).select("entity", _term(F.col("word")).alias("term"))
-    together = near.where(_is_term(F.col("term"))).groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    together = together.where(F.col("n_et") >= support)
-    entities = contexts.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
+        ).alias("term"),
+    )
+    together = near.where(_is_term(F.col("term"))).groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
+    together = together.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("n_contexts"))
+    together = together.where(F.col("n_contexts") >= support).drop("n_contexts")
+    entities = found.groupBy("entity").agg(F.count("*").alias("n_e"))
     pairs = cut(together.join(entities, "entity"), "pii-pairs")
     terms = cut(pairs.select("term").distinct(), "pii-terms")
     n_terms = terms.count()
     if not n_terms:
         return None
-    words = docs.select(F.explode(words_of(text_of(docs))).alias("word"))
-    total = docs.agg(F.sum(F.size(words_of(text_of(docs))))).first()[0]
-    said = words.select(_term(F.col("word")).alias("term"))
-    if n_terms <= BROADCAST_ROWS:
-        said = said.join(F.broadcast(terms), "term", "left_semi")
-    said = said.groupBy("term").agg(F.count("*").alias("n_t"))
+    text = text_of(docs)
+    copies = docs.groupBy(_digest(text).alias("_digest")).agg(
+        F.count("*").alias("copies"), F.max(F.size(words_of(text))).alias("n_words")
+    )
+    copies = cut(copies, "pii-copies")
+    total = copies.agg(F.sum("n_words")).first()[0]
+    said = docs.select(_digest(text).alias("_digest"), F.explode(words_of(text)).alias("word"))
+    said = said.select("_digest", _term(F.col("word")).alias("term"))
+    said = said.join(F.broadcast(terms) if n_terms <= BROADCAST_ROWS else terms, "term", "left_semi")
+    said = said.groupBy("_digest", "term").agg(F.count("*").alias("n"))
+    said = said.join(copies.where("copies > 1").drop("n_words"), "_digest", "left")
+    said = said.groupBy("term").agg(F.sum(F.expr("n div coalesce(copies, 1)")).alias("n_t"))
     w = F.lit(float(total))
     pmi = F.log(F.col("n_et") * w / (F.col("n_e") * F.col("n_t")))
     ic = F.log(w / F.col("n_e"))
@@ -200,12 +214,12 @@ def find_personal_data(
     """
     rows = base_spans(docs)
     every = F.concat(*(F.col(f"_{k}") for k in KINDS))
-    key = {"_row_id": F.col("doc_id").cast("string"), "_row_key": F.xxhash64(text_of(docs))}
-    slim = rows.withColumns(key).where(F.size(every) > 0)
+    key = {"_digest": _digest(text_of(docs)), "_text": text_of(docs), "_spans": every}
+    texts = rows.where(F.size(every) > 0).select(*(value.alias(name) for name, value in key.items()))
+    texts = cut(texts.dropDuplicates(["_digest"]), "pii-texts")
     held = cut(
-        slim.select("_row_id", "_row_key", text_of(docs).alias("_text"), F.explode(every).alias("span")).select(
-            "_row_id",
-            "_row_key",
+        texts.select("_digest", "_text", F.explode("_spans").alias("span")).select(
+            "_digest",
             _entity(F.col("span")).alias("entity"),
             # a space stands for the text's edge, where no word is cut
             F.concat(
@@ -225,12 +239,12 @@ def find_personal_data(
         return rows.withColumn("_term", none)
     terms = cut(terms, "pii-disclosing")
     by_row = cut(
-        held.select("_row_id", "_row_key", "entity")
+        held.select("_digest", "entity")
         .distinct()
         .join(terms, "entity")
-        .groupBy("_row_id", "_row_key", "term")
+        .groupBy("_digest", "term")
         .agg(F.max("removed").alias("removed"))
-        .groupBy("_row_id", "_row_key")
+        .groupBy("_digest")
         .agg(F.sort_array(F.collect_list(F.struct("term", "removed"))).alias("_terms")),
         "pii-rows",
     )
@@ -238,12 +252,7 @@ def find_personal_data(
     if not n_rows:
         return rows.withColumn("_term", none)
     side = F.broadcast(by_row) if n_rows <= BROADCAST_ROWS else by_row
-    keyed = rows.withColumns(key)
-    joined = keyed.join(
-        side.withColumnsRenamed({"_row_id": "_id2", "_row_key": "_key2"}),
-        F.col("_row_id").eqNullSafe(F.col("_id2")) & (F.col("_row_key") == F.col("_key2")),
-        "left",
-    )
+    joined = rows.withColumn("_digest", _digest(text_of(docs))).join(side, "_digest", "left")
     names = F.array_join(F.transform("_terms", lambda t: F.concat(F.lit("\\Q"), t["term"], F.lit("\\E"))), "|")
     pattern = F.concat(F.lit(f"(?iu)(?<![^{_EDGE}])(?:"), names, F.lit(f")(?![^{_EDGE}])"))
     removed = F.transform(F.filter("_terms", lambda t: t["removed"]), lambda t: t["term"])
@@ -258,7 +267,7 @@ def find_personal_data(
         ),
     )
     return joined.withColumn("_term", F.when(F.col("_terms").isNull(), none).otherwise(kinds.cast(_SPAN))).drop(
-        "_terms", "_id2", "_key2", "_row_id", "_row_key"
+        "_terms", "_digest"
     )
 
 
