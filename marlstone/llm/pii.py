@@ -9,8 +9,9 @@ with t,
     PMI(e; t) = ln(n(e, t) W / (n(e) n(t))),   IC(e) = ln(W / n(e)),
 
 and PMI = IC means that t occurs nowhere but next to e.  A term with at least ``support``
-different shared contexts and PMI >= ``generalise`` * IC discloses e: in documents that hold e it
-is generalised to [TERM], and removed from ``remove`` * IC on.
+different shared contexts and PMI >= ``generalise`` * IC discloses e: in every document,
+also where only the term gives e away, it is generalised to [TERM], and removed from
+``remove`` * IC on.
 
 Spans are code points, end exclusive.  Positions come from the gaps and the matches of
 one and the same pattern, by prefix sums.
@@ -153,7 +154,7 @@ def _digest(text: Column) -> Column:
 def disclosing_terms(
     docs: DataFrame, found: DataFrame, support: int, generalise: float, remove: float
 ) -> DataFrame | None:
-    """(entity, term, removed) over the whole corpus; None where nothing has support.
+    """(_digest, term, removed) of every text with a disclosing term; None where nothing has support.
 
     ``found`` has a row (entity, left, right) for each span of each different text.
     """
@@ -192,14 +193,14 @@ def disclosing_terms(
     said = said.join(F.broadcast(terms) if n_terms <= BROADCAST_ROWS else terms, "term", "left_semi")
     said = said.groupBy("_digest", "term").agg(F.count("*").alias("n"))
     said = said.join(copies.where("copies > 1").drop("n_words"), "_digest", "left")
-    said = said.groupBy("term").agg(F.sum(F.expr("n div coalesce(copies, 1)")).alias("n_t"))
+    said = cut(said.select("_digest", "term", F.expr("n div coalesce(copies, 1)").alias("n")), "pii-said")
+    often = said.groupBy("term").agg(F.sum("n").alias("n_t"))
     w = F.lit(float(total))
     pmi = F.log(F.col("n_et") * w / (F.col("n_e") * F.col("n_t")))
     ic = F.log(w / F.col("n_e"))
-    ratio = pairs.join(said, "term").withColumn("ratio", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)))
-    return ratio.where(F.col("ratio") >= generalise).select(
-        "entity", "term", (F.col("ratio") >= remove).alias("removed")
-    )
+    ratio = pairs.join(often, "term").withColumn("ratio", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)))
+    disclosing = ratio.groupBy("term").agg(F.max("ratio").alias("ratio")).where(F.col("ratio") >= generalise)
+    return said.join(disclosing, "term").select("_digest", "term", (F.col("ratio") >= remove).alias("removed"))
 
 
 def find_personal_data(
@@ -218,8 +219,7 @@ def find_personal_data(
     texts = rows.where(F.size(every) > 0).select(*(value.alias(name) for name, value in key.items()))
     texts = cut(texts.dropDuplicates(["_digest"]), "pii-texts")
     held = cut(
-        texts.select("_digest", "_text", F.explode("_spans").alias("span")).select(
-            "_digest",
+        texts.select("_text", F.explode("_spans").alias("span")).select(
             _entity(F.col("span")).alias("entity"),
             # a space stands for the text's edge, where no word is cut
             F.concat(
@@ -234,24 +234,15 @@ def find_personal_data(
         "pii-held",
     )
     none = F.array().cast(_SPAN)
-    terms = disclosing_terms(docs, held.select("entity", "left", "right"), support, generalise, remove)
+    terms = disclosing_terms(docs, held, support, generalise, remove)
     if terms is None:
         return rows.withColumn("_term", none)
-    terms = cut(terms, "pii-disclosing")
-    by_row = cut(
-        held.select("_digest", "entity")
-        .distinct()
-        .join(terms, "entity")
-        .groupBy("_digest", "term")
-        .agg(F.max("removed").alias("removed"))
-        .groupBy("_digest")
-        .agg(F.sort_array(F.collect_list(F.struct("term", "removed"))).alias("_terms")),
-        "pii-rows",
-    )
-    n_rows = by_row.count()
-    if not n_rows:
+    by_text = terms.groupBy("_digest").agg(F.sort_array(F.collect_list(F.struct("term", "removed"))).alias("_terms"))
+    by_text = cut(by_text, "pii-disclosed")
+    n_texts = by_text.count()
+    if not n_texts:
         return rows.withColumn("_term", none)
-    side = F.broadcast(by_row) if n_rows <= BROADCAST_ROWS else by_row
+    side = F.broadcast(by_text) if n_texts <= BROADCAST_ROWS else by_text
     joined = rows.withColumn("_digest", _digest(text_of(docs))).join(side, "_digest", "left")
     names = F.array_join(F.transform("_terms", lambda t: F.concat(F.lit("\\Q"), t["term"], F.lit("\\E"))), "|")
     pattern = F.concat(F.lit(f"(?iu)(?<![^{_EDGE}])(?:"), names, F.lit(f")(?![^{_EDGE}])"))

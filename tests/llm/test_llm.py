@@ -161,6 +161,11 @@ def test_pii_copies_tell_nothing_new(spark):
     assert cleaned(spark, [*TOLD * 10, FILLER]) == once[:4] * 10 + [FILLER]
 
 
+def test_pii_terms_in_documents_without_the_entity(spark):
+    *_, filler, alone, near, null = cleaned(spark, [*TOLD, FILLER, "only Zorblax, here", "zorblaxes stay", None])
+    assert (filler, alone, near, null) == (FILLER, "only [TERM], here", "zorblaxes stay", None)
+
+
 def test_packing(spark, odd):
     rng = random.Random(2)
     docs = [(i, np.arange(rng.choice([1, 3, 40, 64, 100, 700]), dtype=np.uint32) + i) for i in range(300)]
