@@ -8,8 +8,10 @@ with t,
 
     PMI(e; t) = ln(n(e, t) W / (n(e) n(t))),   IC(e) = ln(W / n(e)),
 
-and PMI = IC means that t occurs nowhere but next to e.  A term with at least ``support``
-different shared contexts and PMI >= ``generalise`` * IC discloses e: in every document,
+and PMI = IC means that t occurs nowhere but next to e.  The same is counted over whole texts, however far
+apart e and t stand: N different texts for W, and n(t), n(e) and n(e, t) texts.  By either
+count, a term with at least ``support`` different shared contexts, or ``text_support`` shared
+texts, and PMI >= ``generalise`` * IC discloses e: in every document,
 also where only the term gives e away, it is generalised to [TERM], and removed from
 ``remove`` * IC on.
 
@@ -30,6 +32,8 @@ from .common import WS, cut, let, text_of, words_of
 KINDS = ("email", "ip", "card", "phone")
 REACH = 48
 SUPPORT = 3
+#: Two: in one text alone every rare word would have PMI = IC.
+TEXT_SUPPORT = 2
 GENERALISE = 0.9
 REMOVE = 0.97
 BROADCAST_ROWS = 100_000
@@ -151,13 +155,31 @@ def _digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def disclosing_terms(
-    docs: DataFrame, found: DataFrame, support: int, generalise: float, remove: float
-) -> DataFrame | None:
-    """(_digest, term, removed) of every text with a disclosing term; None where nothing has support.
+def _possible(pairs: DataFrame, said: DataFrame, total: int, generalise: float) -> DataFrame:
+    """``pairs`` but for those that the terms ``said`` alone, a part of all, keep below ``generalise``."""
+    least = said.groupBy("term").agg(F.count("*").alias("least"))
+    most = F.col("n_et") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - generalise))
+    return pairs.join(least, "term").where(F.col("least") <= most * (1 + 1e-9)).drop("least")
 
-    ``found`` has a row (entity, left, right) for each span of each different text.
-    """
+
+def near_pairs(texts: DataFrame, n_words: int, support: int, generalise: float) -> DataFrame:
+    """(entity, term, n_et, n_e) with n_et spans of the entity within reach of the term."""
+    span = F.col("span")
+    found = cut(
+        texts.select("_text", F.explode("_spans").alias("span")).select(
+            _entity(span).alias("entity"),
+            # a space stands for the text's edge, where no word is cut
+            F.concat(
+                F.when(span["start"] <= REACH, F.lit(" ")).otherwise(F.lit("")),
+                F.substring(F.col("_text"), F.greatest(span["start"] - REACH + 1, F.lit(1)), F.least(span["start"], F.lit(REACH))),
+            ).alias("left"),
+            F.concat(
+                F.substring(F.col("_text"), span["end"] + 1, F.lit(REACH)),
+                F.when(F.length("_text") <= span["end"] + REACH, F.lit(" ")).otherwise(F.lit("")),
+            ).alias("right"),
+        ),
+        "pii-held",
+    )
     near = found.select(
         "entity",
         F.xxhash64("left", "right").alias("context"),
@@ -176,36 +198,70 @@ def disclosing_terms(
     together = near.where(_is_term(F.col("term"))).groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
     together = together.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("n_contexts"))
     together = together.where(F.col("n_contexts") >= support).drop("n_contexts")
-    entities = found.groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = cut(together.join(entities, "entity"), "pii-pairs")
-    terms = cut(pairs.select("term").distinct(), "pii-terms")
-    n_terms = terms.count()
-    if not n_terms:
-        return None
+    pairs = together.join(found.groupBy("entity").agg(F.count("*").alias("n_e")), "entity")
+    said = texts.select(F.explode(words_of(F.col("_text"))).alias("word")).select(_term(F.col("word")).alias("term"))
+    return _possible(pairs, said, n_words, generalise)
+
+
+def text_pairs(texts: DataFrame, n_texts: int, support: int, generalise: float) -> DataFrame:
+    """(entity, term, n_et, n_e) with n_et different texts that hold both."""
+    held = texts.select(F.array_distinct(F.transform("_spans", _entity)).alias("entities"), "_text")
+    strong = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    strong = cut(strong.where(F.col("n_e") >= support), "pii-strong")
+    terms = F.array_distinct(F.filter(F.transform(F.array_distinct(words_of(F.col("_text"))), _term), _is_term))
+    n_strong = strong.count()
+    side = F.broadcast(strong) if n_strong <= BROADCAST_ROWS else strong
+    rows = held.select(F.explode("entities").alias("entity"), "_text").join(side, "entity")
+    pairs = rows.select("entity", "n_e", F.explode(terms).alias("term")).groupBy("entity", "term")
+    pairs = pairs.agg(F.count("*").alias("n_et"), F.max("n_e").alias("n_e")).where(F.col("n_et") >= support)
+    if not n_strong:
+        return pairs
+    return _possible(pairs, held.select(F.explode(terms).alias("term")), n_texts, generalise)
+
+
+def disclosing_terms(
+    docs: DataFrame, texts: DataFrame, support: int, text_support: int, generalise: float, remove: float
+) -> DataFrame | None:
+    """(_digest, term, removed) of every text with a disclosing term; None where nothing has support.
+
+    ``texts`` has a row (_digest, _text, _spans) for each different text with a span.
+    """
     text = text_of(docs)
     copies = docs.groupBy(_digest(text).alias("_digest")).agg(
         F.count("*").alias("copies"), F.max(F.size(words_of(text))).alias("n_words")
     )
     copies = cut(copies, "pii-copies")
-    total = copies.agg(F.sum("n_words")).first()[0]
+    n_texts, n_words = copies.agg(F.count("*"), F.sum("n_words")).first()
+    near = near_pairs(texts, n_words or 0, support, generalise).withColumn("whole", F.lit(False))
+    far = text_pairs(texts, n_texts, text_support, generalise).withColumn("whole", F.lit(True))
+    pairs = cut(near.unionByName(far), "pii-pairs")
+    terms = cut(pairs.select("term").distinct(), "pii-terms")
+    n_terms = terms.count()
+    if not n_terms:
+        return None
+    few = n_terms <= BROADCAST_ROWS
     said = docs.select(_digest(text).alias("_digest"), F.explode(words_of(text)).alias("word"))
     said = said.select("_digest", _term(F.col("word")).alias("term"))
-    said = said.join(F.broadcast(terms) if n_terms <= BROADCAST_ROWS else terms, "term", "left_semi")
+    said = said.join(F.broadcast(terms) if few else terms, "term", "left_semi")
     said = said.groupBy("_digest", "term").agg(F.count("*").alias("n"))
     said = said.join(copies.where("copies > 1").drop("n_words"), "_digest", "left")
     said = cut(said.select("_digest", "term", F.expr("n div coalesce(copies, 1)").alias("n")), "pii-said")
-    often = said.groupBy("term").agg(F.sum("n").alias("n_t"))
-    w = F.lit(float(total))
-    pmi = F.log(F.col("n_et") * w / (F.col("n_e") * F.col("n_t")))
+    often = said.groupBy("term").agg(F.sum("n").alias("n_words"), F.count("*").alias("n_texts"))
+    w = F.when(F.col("whole"), F.lit(float(n_texts))).otherwise(F.lit(float(n_words or 0)))
+    n_t = F.when(F.col("whole"), F.col("n_texts")).otherwise(F.col("n_words"))
+    pmi = F.log(F.col("n_et") * w / (F.col("n_e") * n_t))
     ic = F.log(w / F.col("n_e"))
     ratio = pairs.join(often, "term").withColumn("ratio", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)))
     disclosing = ratio.groupBy("term").agg(F.max("ratio").alias("ratio")).where(F.col("ratio") >= generalise)
-    return said.join(disclosing, "term").select("_digest", "term", (F.col("ratio") >= remove).alias("removed"))
+    disclosing = cut(disclosing, "pii-disclosing")
+    told = said.join(F.broadcast(disclosing) if few else disclosing, "term")
+    return told.select("_digest", "term", (F.col("ratio") >= remove).alias("removed"))
 
 
 def find_personal_data(
     docs: DataFrame,
     support: int = SUPPORT,
+    text_support: int = TEXT_SUPPORT,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
 ) -> DataFrame:
@@ -218,23 +274,8 @@ def find_personal_data(
     key = {"_digest": _digest(text_of(docs)), "_text": text_of(docs), "_spans": every}
     texts = rows.where(F.size(every) > 0).select(*(value.alias(name) for name, value in key.items()))
     texts = cut(texts.dropDuplicates(["_digest"]), "pii-texts")
-    held = cut(
-        texts.select("_text", F.explode("_spans").alias("span")).select(
-            _entity(F.col("span")).alias("entity"),
-            # a space stands for the text's edge, where no word is cut
-            F.concat(
-                F.when(F.col("span.start") <= REACH, F.lit(" ")).otherwise(F.lit("")),
-                F.substring(F.col("_text"), F.greatest(F.col("span.start") - REACH + 1, F.lit(1)), F.least(F.col("span.start"), F.lit(REACH))),
-            ).alias("left"),
-            F.concat(
-                F.substring(F.col("_text"), F.col("span.end") + 1, F.lit(REACH)),
-                F.when(F.length("_text") <= F.col("span.end") + REACH, F.lit(" ")).otherwise(F.lit("")),
-            ).alias("right"),
-        ),
-        "pii-held",
-    )
     none = F.array().cast(_SPAN)
-    terms = disclosing_terms(docs, held, support, generalise, remove)
+    terms = disclosing_terms(docs, texts, support, text_support, generalise, remove)
     if terms is None:
         return rows.withColumn("_term", none)
     by_text = terms.groupBy("_digest").agg(F.sort_array(F.collect_list(F.struct("term", "removed"))).alias("_terms"))

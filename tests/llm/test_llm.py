@@ -166,6 +166,15 @@ def test_pii_terms_in_documents_without_the_entity(spark):
     assert (filler, alone, near, null) == (FILLER, "only [TERM], here", "zorblaxes stay", None)
 
 
+def test_pii_terms_far_from_the_entity(spark):
+    far = [f"quibbex {' '.join(f'pad{i}of{k}' for k in range(60))} may@corp.io" for i in range(2)]
+    lone = "hapaxword " + "pad " * 60 + "eve@corp.io"
+    others = [f"plain text number{i}" for i in range(200)]
+    *texts, plain = cleaned(spark, [*far, lone, *others, "quibbex pads"])
+    assert not any("quibbex" in t for t in texts[:2]) and all("pad0of5" in t for t in texts[:1])
+    assert "hapaxword" in texts[2] and texts[3:] == others and plain == "[TERM] pads"
+
+
 def test_packing(spark, odd):
     rng = random.Random(2)
     docs = [(i, np.arange(rng.choice([1, 3, 40, 64, 100, 700]), dtype=np.uint32) + i) for i in range(300)]
