@@ -65,6 +65,16 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: What one broadcast side may take by estimate; beyond it sides are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def hinted(side: DataFrame, row_bytes: Column | int) -> DataFrame:
+    """``side`` with a broadcast hint if its rows' estimated bytes, summed first, are few enough."""
+    total = side.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0] or 0
+    return F.broadcast(side) if total <= BROADCAST_BYTES else side
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, also inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -1,25 +1,34 @@
 """Information-theoretic sanitisation of personal data, JVM expressions only.
 
 Base kinds (email, ip, card, phone) are patterns with checks.  Their values are the
-protected entities.  Over the different texts of the corpus, so that copies of a document tell
-nothing new, the words that stand within ``REACH`` characters of an entity are counted.
-With W words in these texts, n(t) of term t, n(e) spans of entity e and n(e, t) of them
-with t,
+protected entities.  Over the different texts of the corpus, so that copies of a document
+tell nothing new, the joint counts of entities e and terms t are taken twice:
+
+* near: W words, n(t) words, n(e) spans, n(e, t) spans with t within ``REACH`` words of them;
+* text: N different texts for W, and n(t), n(e) and n(e, t) texts, however far apart e and t stand.
 
     PMI(e; t) = ln(n(e, t) W / (n(e) n(t))),   IC(e) = ln(W / n(e)),
 
-and PMI = IC means that t occurs nowhere but next to e.  The same is counted over whole texts, however far
-apart e and t stand: N different texts for W, and n(t), n(e) and n(e, t) texts.  By either
-count, a term with at least ``support`` different shared contexts, or ``text_support`` shared
-texts, and PMI >= ``generalise`` * IC discloses e: in every document,
-also where only the term gives e away, it is generalised to [TERM], and removed from
-``remove`` * IC on.
+and IC - PMI = -ln(n(e, t) / n(t)) is what stays unknown of e for a reader who sees t.  Of a
+few counts that is no more than a guess, so n(e, t) / n(t) is taken at the lower end of its
+95 % interval (Wilson): a term that was seen once and next to e leaves 2.28 bits, twice 1.55,
+six times 0.71.  A term discloses e when it leaves at most ``bits`` bits, and never more
+than ``share`` of IC(e).  So an entity that is seen once is served too, by the words near it
+that stand nowhere else; far from it a second text is needed, as in one text alone every
+rare word would be telling.  Neither depends on the size of the corpus.  A disclosing term is generalised to [TERM] in every
+document, also where only the term gives e away, and removed from ``remove_bits`` down.
 
 Spans are code points, end exclusive.  Positions come from the gaps and the matches of
-one and the same pattern, by prefix sums.
-
-Defined results: null text counts as empty (no spans); rows with a null doc_id are treated
-like others; a value that fails its check is no entity and gives no span.
+one and the same pattern, by prefix sums; texts are cut by blocks, so that many spans in a
+long text cost no more than their number.  Nothing is lost to a limit: entities that stand
+in exactly the same texts are counted as one, which changes no count.
+
+Defined results: null text counts as empty (no spans) and stays null; rows with a null
+doc_id, repeated rows and ties are treated like others; a value that fails its check is no
+entity and gives no span; an empty table gives no row; columns of the input that are named
+like those made here (``text`` and ``n_chars`` apart) come back unchanged from ``sanitise``.
+The spans are listed by kind (email, ip, card, phone, then ``term`` and ``removed`` in one
+list) and by start inside a kind.
 """
 
 from __future__ import annotations
@@ -27,16 +36,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, cut, let, text_of, words_of
+from .common import cut, hinted, let, text_of, words_of
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 48
-SUPPORT = 3
-#: Two: in one text alone every rare word would have PMI = IC.
-TEXT_SUPPORT = 2
-GENERALISE = 0.9
-REMOVE = 0.97
-BROADCAST_ROWS = 100_000
+#: Words on either side of a span that are near it.
+REACH = 8
+#: A term that was seen once, and next to the entity, leaves 2.28.
+BITS = 2.3
+REMOVE_BITS = 0.75
+SHARE = 0.35
+_Z2 = 1.96**2
+BLOCK = 1024
 _TRIM = ".,;:!?()[]\"'"
 _EDGE = r"\s.,;:!?()\[\]\"'"
 
@@ -71,10 +81,10 @@ _CHECKS = {
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
-def _running(steps: Column) -> Column:
-    """Sums of what stands before each element, in blocks of the root of the length."""
+def _before(steps: Column, more) -> Column:
+    """``more`` folded from 0 over what stands before each element, in blocks of the root of the length."""
     grow = lambda a: F.aggregate(
-        a, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x))
+        a, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(more(F.element_at(acc, -1), x)))
     )
 
     def blocked(a: Column) -> Column:
@@ -85,18 +95,26 @@ def _running(steps: Column) -> Column:
         )
 
         def joined(parts: Column) -> Column:
-            sums = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda acc, x: acc + x))
+            whole = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), more))
             return F.flatten(
                 F.zip_with(
                     parts,
-                    F.slice(grow(sums), 1, F.size(parts)),
-                    lambda p, base: F.transform(F.slice(grow(p), 1, F.size(p)), lambda v: v + base),
+                    F.slice(grow(whole), 1, F.size(parts)),
+                    lambda p, base: F.transform(F.slice(grow(p), 1, F.size(p)), lambda v: more(base, v)),
                 )
             )
 
         return let(blocks, joined)
 
-    return let(steps, blocked)
+    return F.when(F.size(steps) == 0, F.array().cast("array<int>")).otherwise(let(steps, blocked))
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _most(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
 
 
 def find_spans(text: Column, kind: str, pattern: Column, check) -> Column:
@@ -119,7 +137,7 @@ def find_spans(text: Column, kind: str, pattern: Column, check) -> Column:
                     lambda span: check(span["value"]),
                 )
 
-            return let(_running(steps), build)
+            return let(_before(steps, _plus), build)
 
         gaps = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(m)), F.length)
         return F.when(F.size(m) == 0, F.array().cast(_SPAN)).otherwise(let(gaps, with_gaps))
@@ -155,74 +173,117 @@ def _digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def _possible(pairs: DataFrame, said: DataFrame, total: int, generalise: float) -> DataFrame:
-    """``pairs`` but for those that the terms ``said`` alone, a part of all, keep below ``generalise``."""
-    least = said.groupBy("term").agg(F.count("*").alias("least"))
-    most = F.col("n_et") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - generalise))
-    return pairs.join(least, "term").where(F.col("least") <= most * (1 + 1e-9)).drop("least")
-
-
-def near_pairs(texts: DataFrame, n_words: int, support: int, generalise: float) -> DataFrame:
-    """(entity, term, n_et, n_e) with n_et spans of the entity within reach of the term."""
-    span = F.col("span")
-    found = cut(
-        texts.select("_text", F.explode("_spans").alias("span")).select(
-            _entity(span).alias("entity"),
-            # a space stands for the text's edge, where no word is cut
-            F.concat(
-                F.when(span["start"] <= REACH, F.lit(" ")).otherwise(F.lit("")),
-                F.substring(F.col("_text"), F.greatest(span["start"] - REACH + 1, F.lit(1)), F.least(span["start"], F.lit(REACH))),
-            ).alias("left"),
-            F.concat(
-                F.substring(F.col("_text"), span["end"] + 1, F.lit(REACH)),
-                F.when(F.length("_text") <= span["end"] + REACH, F.lit(" ")).otherwise(F.lit("")),
-            ).alias("right"),
-        ),
-        "pii-held",
+# -- replacing spans -----------------------------------------------------------------
+def _cut(blocks: Column, a: Column, b: Column) -> Column:
+    """Code points [a, b) of a text that is cut into blocks."""
+    first, last = F.floor(a / BLOCK).cast("int"), F.floor(b / BLOCK).cast("int")
+    inside = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    end = F.when(last > first, F.substring(F.coalesce(F.get(blocks, last), F.lit("")), F.lit(1), b % BLOCK)).otherwise(F.lit(""))
+    return F.when(b <= a, F.lit("")).otherwise(F.concat(F.substring(F.get(blocks, first), a % BLOCK + 1, b - a), inside, end))
+
+
+def ordered(spans: Column) -> Column:
+    """Spans by start, the longer first, each with the furthest end before it."""
+
+    def with_ends(s: Column) -> Column:
+        return F.zip_with(
+            s,
+            _before(F.transform(s, lambda x: -x["back"]), _most),
+            lambda x, before: F.struct(x["start"].alias("start"), (-x["back"]).alias("end"), x["kind"].alias("kind"), x["value"].alias("value"), before.alias("before")),
+        )
+
+    sort = F.array_sort(
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"), s["value"].alias("value")))
     )
-    near = found.select(
-        "entity",
-        F.xxhash64("left", "right").alias("context"),
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.concat(
-                        words_of(F.regexp_replace("left", f"^[^{WS}]+", "")),
-                        words_of(F.regexp_replace("right", f"[^{WS}]+\\z", "")),
-                    ),
-                    _term,
-                )
+    return let(sort, with_ends)
+
+
+def replaced(text: Column, found: Column, label) -> Column:
+    """``text`` with the spans of :func:`ordered` replaced; of overlapping ones the first names the label."""
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def build(parts: Column) -> Column:
+        def pieces(spans: Column) -> Column:
+            each = F.transform(
+                spans, lambda s: F.when(s["start"] >= s["before"], F.concat(_cut(parts, s["before"], s["start"]), label(s))).otherwise(F.lit(""))
             )
-        ).alias("term"),
-    )
-    together = near.where(_is_term(F.col("term"))).groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
-    together = together.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("n_contexts"))
-    together = together.where(F.col("n_contexts") >= support).drop("n_contexts")
-    pairs = together.join(found.groupBy("entity").agg(F.count("*").alias("n_e")), "entity")
+            end = F.array_max(F.transform(spans, lambda s: s["end"]))
+            return F.concat(F.array_join(each, ""), _cut(parts, end, F.length(text)))
+
+        return let(found, pieces)
+
+    return let(blocks, build)
+
+
+# -- joint counts --------------------------------------------------------------------
+def left_bits(n_et: Column, n_t: Column) -> Column:
+    """Bits of the entity that the term leaves unknown: -log2 of the lower bound of n_et / n_t."""
+    n = n_t.cast("double")
+    p = F.least(n_et / n, F.lit(1.0))
+    low = (p + _Z2 / (2 * n) - F.sqrt(_Z2 * (p * (1 - p) / n + _Z2 / (4 * n * n)))) / (1 + _Z2 / n)
+    return -F.log2(low)
+
+
+def _possible(pairs: DataFrame, said: DataFrame, bits: float) -> DataFrame:
+    """The different (term, n_et, n_e) of ``pairs``, but for terms that are too common in ``said`` alone, a part of all."""
+    least = said.groupBy("term").agg(F.count("*").alias("least"))
+    fit = pairs.select("term", "n_et", "n_e").distinct().join(least, "term")
+    return fit.where(left_bits(F.col("n_et"), F.greatest("least", "n_et")) <= bits + 1e-9).drop("least")
+
+
+def near_pairs(texts: DataFrame, reach: int, bits: float) -> DataFrame:
+    """(term, n_et, n_e) with n_et spans of an entity within ``reach`` words of the term.
+
+    Spans that overlap are one place; they are not words of their own.
+    """
+    mark = "\x01"
+    plain = F.translate(F.col("_text"), mark, " ")
+
+    def held(words: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i) == mark)
+
+        def windows(places: Column) -> Column:
+            heads = F.transform("_spans", lambda s: (s["start"] >= s["before"]).cast("int"))
+            place = F.zip_with(_before(heads, _plus), heads, lambda b, own: F.get(places, b + own - 1))
+            return F.zip_with("_spans", place, lambda s, p: F.struct(_entity(s).alias("entity"), around(p).alias("terms")))
+
+        def around(p: Column) -> Column:
+            low = F.greatest(p - reach, F.lit(0))
+            return F.array_distinct(F.filter(F.transform(F.slice(words, low + 1, p + reach - low + 1), _term), _is_term))
+
+        return let(at, windows)
+
+    marked = words_of(replaced(plain, F.col("_spans"), lambda s: F.lit(f" {mark} ")))
+    found = cut(texts.select(F.explode(let(marked, held)).alias("x")).select("x.*"), "pii-held")
+    often = found.groupBy("entity").agg(F.count("*").alias("n_e")).where("n_e > 1")
+    together = found.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+    pairs = together.join(hinted(cut(often, "pii-often"), F.length("entity") + 64), "entity", "left").withColumn("n_e", F.coalesce("n_e", F.lit(1)))
     said = texts.select(F.explode(words_of(F.col("_text"))).alias("word")).select(_term(F.col("word")).alias("term"))
-    return _possible(pairs, said, n_words, generalise)
+    return _possible(pairs, said, bits)
 
 
-def text_pairs(texts: DataFrame, n_texts: int, support: int, generalise: float) -> DataFrame:
-    """(entity, term, n_et, n_e) with n_et different texts that hold both."""
-    held = texts.select(F.array_distinct(F.transform("_spans", _entity)).alias("entities"), "_text")
-    strong = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    strong = cut(strong.where(F.col("n_e") >= support), "pii-strong")
+def text_pairs(texts: DataFrame, bits: float) -> DataFrame:
+    """(term, n_et, n_e) with n_et different texts that hold both, for two texts or more.
+
+    Entities of the same texts are one: ``group``
+    is a sum over their texts' hashes.
+    """
+    held = texts.select("_digest", F.explode(F.array_distinct(F.transform("_spans", _entity))).alias("entity"))
+    where = F.xxhash64("_digest").cast("decimal(38,0)")
+    strong = held.groupBy("entity").agg(F.count("*").alias("n_e"), F.sum(where).alias("group")).where("n_e > 1")
+    strong = cut(strong, "pii-strong")
+    groups = held.join(hinted(strong, F.length("entity") + 64), "entity").groupBy("_digest").agg(F.collect_set(F.struct("group", "n_e")).alias("groups"))
     terms = F.array_distinct(F.filter(F.transform(F.array_distinct(words_of(F.col("_text"))), _term), _is_term))
-    n_strong = strong.count()
-    side = F.broadcast(strong) if n_strong <= BROADCAST_ROWS else strong
-    rows = held.select(F.explode("entities").alias("entity"), "_text").join(side, "entity")
-    pairs = rows.select("entity", "n_e", F.explode(terms).alias("term")).groupBy("entity", "term")
-    pairs = pairs.agg(F.count("*").alias("n_et"), F.max("n_e").alias("n_e")).where(F.col("n_et") >= support)
-    if not n_strong:
-        return pairs
-    return _possible(pairs, held.select(F.explode(terms).alias("term")), n_texts, generalise)
+    rows = texts.join(groups, "_digest").select("groups", F.explode(terms).alias("term"))
+    pairs = rows.select("term", F.explode("groups").alias("g")).groupBy("term", "g").agg(F.count("*").alias("n_et"))
+    pairs = pairs.select("term", "n_et", F.col("g.n_e").alias("n_e"))
+    return _possible(pairs.where("n_et > 1"), texts.select(F.explode(terms).alias("term")), bits)
 
 
 def disclosing_terms(
-    docs: DataFrame, texts: DataFrame, support: int, text_support: int, generalise: float, remove: float
+    docs: DataFrame, texts: DataFrame, reach: int, bits: float, remove_bits: float, share: float
 ) -> DataFrame | None:
-    """(_digest, term, removed) of every text with a disclosing term; None where nothing has support.
+    """(_digest, term, removed) of every text with a disclosing term; None where there is none.
 
     ``texts`` has a row (_digest, _text, _spans) for each different text with a span.
     """
@@ -232,38 +293,54 @@ def disclosing_terms(
     )
     copies = cut(copies, "pii-copies")
     n_texts, n_words = copies.agg(F.count("*"), F.sum("n_words")).first()
-    near = near_pairs(texts, n_words or 0, support, generalise).withColumn("whole", F.lit(False))
-    far = text_pairs(texts, n_texts, text_support, generalise).withColumn("whole", F.lit(True))
+    near = near_pairs(texts, reach, bits).withColumn("whole", F.lit(False))
+    far = text_pairs(texts, bits).withColumn("whole", F.lit(True))
     pairs = cut(near.unionByName(far), "pii-pairs")
     terms = cut(pairs.select("term").distinct(), "pii-terms")
-    n_terms = terms.count()
-    if not n_terms:
+    if terms.isEmpty():
         return None
-    few = n_terms <= BROADCAST_ROWS
     said = docs.select(_digest(text).alias("_digest"), F.explode(words_of(text)).alias("word"))
     said = said.select("_digest", _term(F.col("word")).alias("term"))
-    said = said.join(F.broadcast(terms) if few else terms, "term", "left_semi")
+    said = said.join(hinted(terms, F.length("term") + 64), "term", "left_semi")
     said = said.groupBy("_digest", "term").agg(F.count("*").alias("n"))
     said = said.join(copies.where("copies > 1").drop("n_words"), "_digest", "left")
     said = cut(said.select("_digest", "term", F.expr("n div coalesce(copies, 1)").alias("n")), "pii-said")
     often = said.groupBy("term").agg(F.sum("n").alias("n_words"), F.count("*").alias("n_texts"))
     w = F.when(F.col("whole"), F.lit(float(n_texts))).otherwise(F.lit(float(n_words or 0)))
     n_t = F.when(F.col("whole"), F.col("n_texts")).otherwise(F.col("n_words"))
-    pmi = F.log(F.col("n_et") * w / (F.col("n_e") * n_t))
-    ic = F.log(w / F.col("n_e"))
-    ratio = pairs.join(often, "term").withColumn("ratio", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)))
-    disclosing = ratio.groupBy("term").agg(F.max("ratio").alias("ratio")).where(F.col("ratio") >= generalise)
-    disclosing = cut(disclosing, "pii-disclosing")
-    told = said.join(F.broadcast(disclosing) if few else disclosing, "term")
-    return told.select("_digest", "term", (F.col("ratio") >= remove).alias("removed"))
+    most = F.least(F.lit(bits), share * F.log2(w / F.col("n_e")))
+    left = pairs.join(often, "term").withColumn("left", left_bits(F.col("n_et"), n_t)).withColumn("most", most)
+    told = left.where(F.col("left") <= F.col("most") + 1e-9).groupBy("term").agg(F.min("left").alias("left"))
+    told = cut(told, "pii-disclosing")
+    told = said.join(hinted(told, F.length("term") + 64), "term")
+    return told.select("_digest", "term", (F.col("left") <= remove_bits).alias("removed"))
+
+
+def _told_spans(text: Column, terms: Column) -> Column:
+    """Spans of the words of ``text`` that are in ``terms`` (term, removed), looked up by hash."""
+
+    def looked_up(buckets: Column) -> Column:
+        def kind(word: Column) -> Column:
+            own = F.filter(F.get(buckets, F.pmod(F.xxhash64(word), F.size(buckets)).cast("int")), lambda t: t["term"] == word)
+            return F.when(F.size(own) > 0, F.when(F.get(own, 0)["removed"], F.lit("removed")).otherwise(F.lit("term")))
+
+        words = find_spans(text, "term", F.lit(f"[^{_EDGE}]+"), lambda x: F.lit(True))
+        named = F.transform(
+            words, lambda s: F.struct(kind(F.lower(s["value"])).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"))
+        )
+        return F.filter(named, lambda s: s["kind"].isNotNull())
+
+    n = F.ceil(F.sqrt(F.size(terms))).cast("int")
+    buckets = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.filter(terms, lambda t: F.pmod(F.xxhash64(t["term"]), n) == b))
+    return let(buckets, looked_up)
 
 
 def find_personal_data(
     docs: DataFrame,
-    support: int = SUPPORT,
-    text_support: int = TEXT_SUPPORT,
-    generalise: float = GENERALISE,
-    remove: float = REMOVE,
+    reach: int = REACH,
+    bits: float = BITS,
+    remove_bits: float = REMOVE_BITS,
+    share: float = SHARE,
 ) -> DataFrame:
     """``docs`` with _email, _ip, _card, _phone and _term arrays of spans.
 
@@ -271,36 +348,19 @@ def find_personal_data(
     """
     rows = base_spans(docs)
     every = F.concat(*(F.col(f"_{k}") for k in KINDS))
-    key = {"_digest": _digest(text_of(docs)), "_text": text_of(docs), "_spans": every}
+    key = {"_digest": _digest(text_of(docs)), "_text": text_of(docs), "_spans": ordered(every)}
     texts = rows.where(F.size(every) > 0).select(*(value.alias(name) for name, value in key.items()))
     texts = cut(texts.dropDuplicates(["_digest"]), "pii-texts")
     none = F.array().cast(_SPAN)
-    terms = disclosing_terms(docs, texts, support, text_support, generalise, remove)
+    terms = disclosing_terms(docs, texts, reach, bits, remove_bits, share)
     if terms is None:
         return rows.withColumn("_term", none)
-    by_text = terms.groupBy("_digest").agg(F.sort_array(F.collect_list(F.struct("term", "removed"))).alias("_terms"))
+    by_text = terms.groupBy("_digest").agg(F.collect_list(F.struct("term", "removed")).alias("_terms"))
     by_text = cut(by_text, "pii-disclosed")
-    n_texts = by_text.count()
-    if not n_texts:
-        return rows.withColumn("_term", none)
-    side = F.broadcast(by_text) if n_texts <= BROADCAST_ROWS else by_text
+    side = hinted(by_text, 64 * F.size("_terms") + 128)
     joined = rows.withColumn("_digest", _digest(text_of(docs))).join(side, "_digest", "left")
-    names = F.array_join(F.transform("_terms", lambda t: F.concat(F.lit("\\Q"), t["term"], F.lit("\\E"))), "|")
-    pattern = F.concat(F.lit(f"(?iu)(?<![^{_EDGE}])(?:"), names, F.lit(f")(?![^{_EDGE}])"))
-    removed = F.transform(F.filter("_terms", lambda t: t["removed"]), lambda t: t["term"])
-    spans = find_spans(text_of(docs), "term", pattern, lambda x: F.lit(True))
-    kinds = F.transform(
-        spans,
-        lambda s: F.struct(
-            F.when(F.array_contains(removed, F.lower(s["value"])), F.lit("removed")).otherwise(F.lit("term")).alias("kind"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            s["value"].alias("value"),
-        ),
-    )
-    return joined.withColumn("_term", F.when(F.col("_terms").isNull(), none).otherwise(kinds.cast(_SPAN))).drop(
-        "_terms", "_digest"
-    )
+    spans = _told_spans(text_of(docs), F.col("_terms")).cast(_SPAN)
+    return joined.withColumn("_term", F.when(F.col("_terms").isNull(), none).otherwise(spans)).drop("_terms", "_digest")
 
 
 def _listed(spans: Column) -> Column:
@@ -324,28 +384,20 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
 
     Of overlapping spans the first names the replacement, and all that they cover goes.
     """
-    found = find_personal_data(docs, **options)
-    spans = F.array_sort(
-        F.transform(
-            F.concat(*(F.col(f"_{k}") for k in (*KINDS, "term"))),
-            lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind")),
-        )
-    )
-    text = F.col("_text")
-
-    def step(acc: Column, s: Column) -> Column:
-        end = -s["back"]
-        label = F.when(s["kind"] == "removed", F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), label)
-        return F.struct(
-            F.greatest(acc["at"], end).alias("at"),
-            F.when(s["start"] >= acc["at"], more).otherwise(acc["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(2**31 - 1))))
-    any_span = F.size(F.concat(*(F.col(f"_{k}") for k in (*KINDS, "term")))) > 0
-    out = found.withColumn("_text", text_of(docs)).withColumn("text", F.when(any_span, clean).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(any_span, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    own = [c for c in docs.columns if c not in ("doc_id", "text")]
+    slim = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *own).alias("_own"))
+    every = F.concat(*(F.col(f"_{k}") for k in (*KINDS, "term")))
+    found = find_personal_data(slim, **options).withColumn("_text", text_of(slim))
+
+    def label(s: Column) -> Column:
+        return F.when(s["kind"] == "removed", F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+
+    clean = replaced(F.col("_text"), ordered(every), label)
+    out = {c: F.col("_own").getField(c) for c in own} | {
+        "doc_id": F.col("doc_id"),
+        "text": F.when(F.size(every) > 0, clean).otherwise(F.col("text")),
+    }
+    if "n_chars" in own:
+        kind = dict(docs.dtypes)["n_chars"]
+        out["n_chars"] = F.when(F.size(every) > 0, F.length(clean).cast(kind)).otherwise(out["n_chars"])
+    return found.select(*(out[c].alias(c) for c in docs.columns))
