@@ -2,25 +2,37 @@
 
 Each input partition packs its own documents, in its own order, so nothing is shuffled and
 a repeated task gives the same sequences.  A document's full windows are sequences of
-their own.  Its rest goes to the fill level h that least increases the sum of squares of
-the counts of partly filled windows, N(1)^2 + ... + N(cap - 1)^2: moving a window from h to
-h + s adds 2 (N(h + s) - N(h)) and a constant, with N(0) and N(cap) held at nothing.  The
-counts are one level array of ``cap`` numbers, and the level's windows are a stack.
-
-When the documents end (or ``MAX_OPEN`` windows are open), the open windows' pieces are
-laid end to end and cut at every ``cap`` ids; what is left at the end is cut into powers of
-two.  So no sequence needs padding at all.
-
-Defined results: null text counts as empty; an empty document is the end id alone.
+their own.  Its rest goes where it least increases the sum of squares of the counts of
+partly filled windows, N(1)^2 + N(2)^2 + ..., by fill level; a level is ``LEVEL`` ids wide,
+the counts are one array, and a level holds its windows by fill.  The moves of a rest of s ids are
+
+* into a window that has room for it: N falls by one at its level and grows at the new one,
+  or, where that fills the window, only falls;
+* cut in two: its first part fills a window of too little room and closes it, the other part
+  opens a window, and ``CUT`` is added for the cut;
+* into a new window.
+
+Closing a window of a crowded level gains most, so levels cannot fill up: open windows stay
+within a few for each level, whatever the number of documents, and no size switches to
+another packer.  When the documents end, the emptiest window's pieces are placed anew by the same rule, but
+without new windows, until one window is left.  Only that last one is no full window: it is
+cut into powers of two.  So no sequence needs padding at all.
+
+Defined results: null text counts as empty; an empty document is the end id alone; an empty
+table gives no rows; rows with a null doc_id and rows that share one are documents like
+others; a text of any length is one document; other columns, whatever their names, are
+not read.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import math
 import re
 import unicodedata
 import zlib
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from itertools import chain
 
@@ -33,51 +45,111 @@ from .common import small_batches
 
 CAP = 2048
 END_ID = 1
-MAX_OPEN = 8192
+#: Ids in one fill level, and what a cut costs in the sum of squares.
+LEVEL = 64
+CUT = 1
 CACHE_ENTRIES = 400_000
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 
 
+class Window:
+    """A partly filled window: pieces (item, start, length) end to end."""
+
+    __slots__ = ("fill", "pieces")
+
+    def __init__(self) -> None:
+        self.fill = 0
+        self.pieces: list[tuple] = []
+
+    def add(self, piece: tuple) -> None:
+        self.pieces.append(piece)
+        self.fill += piece[2]
+
+
 class LevelPacker:
-    """Places rests one by one; gives back windows as lists of (item, offset)."""
+    """Places pieces one by one; gives back the windows that were filled."""
 
-    def __init__(self, cap: int = CAP) -> None:
+    def __init__(self, cap: int = CAP, level: int = LEVEL) -> None:
         self.cap = cap
-        self.count = np.zeros(cap + 1, np.int64)
-        self.stacks: dict[int, list[list]] = {}
+        self.level = min(level, cap)
+        self.count = [0] * (cap // self.level + 1)
+        # by level the windows in order of fill
+        self.windows: list[list[Window]] = [[] for _ in self.count]
         self.opened = 0
 
-    def place(self, size: int, item) -> list | None:
-        """Put an item of 0 < size < cap; the window, if that filled it."""
-        cap, count = self.cap, self.count
-        room = cap - size + 1  # levels 0 .. cap - size
-        gain = count[size : size + room] - count[:room]
-        gain = np.where(count[:room] > 0, gain, np.iinfo(np.int64).max)
-        gain[0] = count[size]  # a new window
-        level = room - 1 - int(np.argmin(gain[::-1]))  # of equals the fullest
-        if level:
-            window = self.stacks[level].pop()
-            count[level] -= 1
-        else:
-            window = []
-            self.opened += 1
-        window.append((item, level))
-        if level + size == cap:
-            self.opened -= 1
-            return window
-        count[level + size] += 1
-        self.stacks.setdefault(level + size, []).append(window)
-        return None
-
-    def drain(self) -> list:
-        """The items of all open windows, fullest level first, and no window any more."""
-        left = [item for level in sorted(self.stacks, reverse=True) for w in self.stacks[level] for item, _ in w]
-        self.stacks.clear()
-        self.count[:] = 0
+    def _take(self, window: Window) -> None:
+        h = window.fill // self.level
+        self.windows[h].remove(window)
+        self.count[h] -= 1
+        self.opened -= 1
+
+    def _keep(self, window: Window) -> None:
+        h = window.fill // self.level
+        insort(self.windows[h], window, key=_fill)
+        self.count[h] += 1
+        self.opened += 1
+
+    def _best(self, size: int, new: bool) -> tuple[Window | None, bool]:
+        """The window of the best move and whether it cuts; no window: a new one."""
+        cap, level, count = self.cap, self.level, self.count
+        best = (2 * count[size // level] + 1, 2, 0) if new or not self.opened else (math.inf, 3, 0)
+        choice: tuple[Window | None, bool] = (None, False)
+        for h, n in enumerate(count):
+            if not n:
+                continue
+            group = self.windows[h]
+            at = bisect_right(group, cap - size, key=_fill)
+            if at:  # the fullest that has room
+                window = group[at - 1]
+                after = (window.fill + size) // level
+                if window.fill + size == cap:
+                    score = 1 - 2 * n
+                else:
+                    score = 0 if after == h else 2 * (count[after] - n) + 2
+                if (score, 0, -window.fill) < best:
+                    best, choice = (score, 0, -window.fill), (window, False)
+            if at < n:  # the fullest of all: the least is cut off
+                window = group[-1]
+                left = (size - cap + window.fill) // level
+                score = 1 - 2 * n + 2 * (count[left] - (left == h)) + 1 + CUT
+                if (score, 1, -window.fill) < best:
+                    best, choice = (score, 1, -window.fill), (window, True)
+        return choice
+
+    def place(self, item, start: int, length: int, new: bool = True) -> Iterator[Window]:
+        """Place ids [start, start + length) of an item, fewer than ``cap``; the windows filled by that."""
+        while length:
+            window, cuts = self._best(length, new)
+            if window is None:
+                window = Window()
+            else:
+                self._take(window)
+            part = min(length, self.cap - window.fill)
+            window.add((item, start, part))
+            start, length = start + part, length - part
+            if window.fill == self.cap:
+                yield window
+            else:
+                self._keep(window)
+
+    def finish(self) -> Iterator[Window]:
+        """All windows that are still open: filled ones, and at most one that is not, last."""
+        while self.opened > 1:
+            window = next(group[0] for group in self.windows if group)
+            self._take(window)
+            for piece in window.pieces:
+                yield from self.place(*piece, new=False)
+        for group in self.windows:
+            yield from group
+            group.clear()
+        self.count = [0] * len(self.count)
         self.opened = 0
-        return left
+
+
+def _fill(window: Window) -> int:
+    return window.fill
 
 
 def pack(documents: Iterator[tuple[int | None, np.ndarray]], first: int, cap: int = CAP) -> Iterator[tuple]:
@@ -89,36 +161,29 @@ def pack(documents: Iterator[tuple[int | None, np.ndarray]], first: int, cap: in
         part = np.ascontiguousarray(ids[start : start + length], "<u4")
         return doc, start, length, zlib.crc32(part.tobytes()), len(ids), number, offset
 
-    def level_out() -> Iterator[tuple]:
+    def rows(window: Window) -> Iterator[tuple]:
         nonlocal number
-        items = packer.drain()
-        left = sum(len(ids) - start for _, ids, start in items)
-        room, used = 0, 0
-        for doc, ids, start in items:
-            while start < len(ids):
+        room, used, left = cap, 0, window.fill
+        if left < cap:
+            room = 1 << (left.bit_length() - 1)
+        for (doc, ids), start, length in window.pieces:
+            while length:
+                part = min(length, room - used)
+                yield row(doc, ids, start, part, used)
+                start, length, used, left = start + part, length - part, used + part, left - part
                 if used == room:
-                    number += used > 0
-                    # full windows first, then the largest power of two that is left
-                    room, used = (cap if left >= cap else 1 << (left.bit_length() - 1)), 0
-                length = min(len(ids) - start, room - used)
-                yield row(doc, ids, start, length, used)
-                start, used, left = start + length, used + length, left - length
-        number += used > 0
+                    number += 1
+                    room, used = 1 << max(left.bit_length() - 1, 0), 0
 
     for doc, ids in documents:
         whole = len(ids) // cap * cap
         for start in range(0, whole, cap):
             yield row(doc, ids, start, cap, 0)
             number += 1
-        if whole < len(ids):
-            done = packer.place(len(ids) - whole, (doc, ids, whole))
-            if done:
-                for (own, own_ids, start), offset in done:
-                    yield row(own, own_ids, start, len(own_ids) - start, offset)
-                number += 1
-            elif packer.opened > MAX_OPEN:
-                yield from level_out()
-    yield from level_out()
+        for window in packer.place((doc, ids), whole, len(ids) - whole):
+            yield from rows(window)
+    for window in packer.finish():
+        yield from rows(window)
 
 
 # -- ids -----------------------------------------------------------------------------
