@@ -1,17 +1,25 @@
-"""Corpus pipeline: quality rules, exact dedup, near-duplicate dedup, PII, packing."""
+"""Corpus pipeline: quality rules, exact dedup, near-duplicate dedup, PII, packing.
+
+Defined results of all stages: null text counts as empty, so the first stage rejects it, and
+with it every text of fewer than 50 words; rows with a null doc_id are documents like
+others, but never near copies; of repeated rows one stays (second stage); a text of any
+length is kept whole; an empty table gives no rows; the first four stages return the
+columns of ``documents``, whatever their names, with ``text`` (and ``n_chars``) changed by the
+fourth alone.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.llm import exact_dedup, ngram_join, packing, pii, quality_rules
-from marlstone.llm.common import cut, table
+from marlstone.llm.common import Tidy, cut, drop, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     verdicts = quality_rules.quality_verdicts(docs, table(spark, sf_dir, "labels"))
-    return verdicts.where("kept").select(*docs.columns)
+    return verdicts.where("_quality.kept").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,6 +57,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again for the next."""
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        with Tidy() as tidy:
+            docs = cut(stage(spark, docs, sf_dir), name)
+            tidy.keep(docs)
+        if before is not None:
+            drop(before)
+        before = docs
     return docs

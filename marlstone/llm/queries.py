@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
     bpe_codec,
@@ -18,7 +19,7 @@ from . import (
     training_order,
     warc,
 )
-from .common import new_path, table
+from .common import cut, new_path, table
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,9 +41,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     verdicts = quality_rules.quality_verdicts(docs, table(spark, sf_dir, "labels"))
-    return verdicts.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
-    )
+    return verdicts.select("doc_id", "_quality.*")
 
 
 def _multi_counts(texts: list[str]) -> list[int]:
@@ -50,25 +49,43 @@ def _multi_counts(texts: list[str]) -> list[int]:
     return [len(encode(text)) for text in texts]
 
 
+def _word_counts(texts: list[str]) -> list[int]:
+    return [len(text.split()) for text in texts]
+
+
 def _plain_counts(texts: list[str]) -> list[int]:
     encode = training_order.encoder().encode_ordinary
     return [len(encode(text)) for text in texts]
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two tokenizer versions, each loaded as a batch; the first is sent twice and counts once."""
+    """Totals after loads, a revision of every count, a deletion and a new load of every row.
+
+    Both tokenizer versions come in as a provisional count (words) that a second batch
+    revises to the library's count; one version is then deleted and loaded again, and each
+    batch is sent twice, of which one counts.
+    """
     docs = table(spark, sf_dir, "documents")
     rollup = token_counts.Rollup(spark, new_path(spark, "token-counts"))
-    first = token_counts.count_tokens(docs, "byte_bpe_50k", _plain_counts)
-    rollup.commit("load/byte_bpe_50k", token_counts.inserts(first))
-    rollup.commit("load/byte_bpe_50k", token_counts.inserts(first))
-    second = token_counts.count_tokens(docs, "byte_bpe_multi_50k", _multi_counts)
-    rollup.commit("load/byte_bpe_multi_50k", token_counts.inserts(second))
+
+    def send(name: str, changes: DataFrame) -> None:
+        rollup.commit(name, changes)
+        rollup.commit(name, changes)
+
+    for version, count in (("byte_bpe_50k", _plain_counts), ("byte_bpe_multi_50k", _multi_counts)):
+        exact = cut(token_counts.count_tokens(docs, version, count, _word_counts), f"counts-{version}")
+        words = exact.withColumn("n_tokens", F.col("n_provisional"))
+        send(f"load/{version}", token_counts.inserts(words))
+        send(f"revise/{version}", token_counts.revisions(words, exact))
+        if version == "byte_bpe_50k":
+            send(f"drop/{version}", token_counts.deletes(exact))
+            send(f"reload/{version}", token_counts.inserts(exact))
+        rollup.compact()
     return rollup.totals()
 
 
 def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derivatives(table(spark, sf_dir, "pages"))
+    return warc.derivatives(warc.page_responses(table(spark, sf_dir, "pages")))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,9 +13,13 @@ Slots need the number of all sequences, so a first pass tokenises every document
 every ``KEEP_EVERY``-th partition it keeps the sequences in a table; the documents of the
 others are tokenised again, which saves that much disk.  Shards are written under another name and then moved, so a repeated task
 leaves the same files.  ``docs`` must come from files, for both passes to see the same
-partitions.
+partitions; the second pass fails where a partition's number of sequences is not that of the
+first, so no sequence can be lost or doubled.  Each row names its shard's path.
 
-Defined results: null text counts as empty, and gives its end id alone.
+Defined results: null text counts as empty, and gives its end id alone; rows with a null
+doc_id and repeated rows are documents like others; a text of any length is one document,
+encoded whole; an empty table gives no row and no shard; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +45,7 @@ END_ID = 50256
 #: Of this many partitions, one's sequences are kept by the first pass: 1 tokenises once, for the most disk.
 KEEP_EVERY = 2
 SCHEMA = (
-    "slot long, sequence long, shard int, byte_offset long, n_tokens int, doc_ids array<long>, first_start long, crc32 long"
+    "slot long, sequence long, shard int, shard_path string, byte_offset long, n_tokens int, doc_ids array<long>, first_start long, crc32 long"
 )
 
 _MADE = "part int, number long, ids binary, n_tokens int, doc_ids array<long>, first_start long"
@@ -167,8 +171,15 @@ def materialise(
         yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _made_schema(), strict=True)], _MADE_NAMES)
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not kept(TaskContext.get().partitionId()):
-            yield from made(batches)
+        part = TaskContext.get().partitionId()
+        if kept(part):
+            return
+        n = 0
+        for b in made(batches):
+            n += b.num_rows
+            yield b
+        if n != expected.value.get(part, 0):
+            raise RuntimeError(f"partition {part} gave {n} sequences, {expected.value.get(part, 0)} at first: the input must come from files")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = starts.value
@@ -187,6 +198,7 @@ def materialise(
         first[part] = total
         total += counts[part]
     starts = spark.sparkContext.broadcast(first)
+    expected = spark.sparkContext.broadcast(counts)
     order = Feistel(total, key)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,6 +229,7 @@ def materialise(
                     b.column("slot"),
                     b.column("sequence"),
                     pa.array((slots // rows).astype(np.int32)),
+                    pa.array([shard_path(path, int(slot) // rows) for slot in slots], pa.string()),
                     pa.array(slots % rows * length * 2),
                     b.column("n_tokens"),
                     b.column("doc_ids"),
@@ -237,6 +250,10 @@ def materialise(
     return ranged.sortWithinPartitions("slot").mapInArrow(write, SCHEMA)
 
 
+def shard_path(path: str, shard: int) -> str:
+    return f"{path}/shard-{shard:08d}.bin"
+
+
 def read_slots(path: str, first: int, count: int, length: int = LENGTH, rows: int = ROWS) -> Iterator[np.ndarray]:
     """Sequences of the slots [first, first + count), read in order from the shards."""
     from pyarrow import fs
