@@ -14,6 +14,14 @@ pairs are stable since the window was encoded as a whole, at its edges by the te
 elsewhere by induction.  A window that reaches both ends is exact in any case.
 
 Decoding concatenates bytes up the same tree.
+
+Pieces of at most ``LEAF_BYTES`` bytes are leaves and merged at once, which by the above gives
+the same tokens; most words are, and the tree works on what is longer.
+
+Defined results: null text counts as empty and gives no ids and empty bytes; rows with a null
+doc_id, repeated rows and ties are treated like others; a text of any length is encoded
+whole, and a piece of any length in n log n; an empty table gives no row; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

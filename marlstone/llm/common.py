@@ -21,13 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none (tests on one machine) a temporary
+    Only where the session names none and runs on one machine (tests) a temporary
     folder is made, set for the session and removed at exit.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="marlstone-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         folder = f"file://{folder}"
@@ -39,6 +41,29 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class Tidy:
+    """Removes, at its end, the tables that :func:`cut` made inside and that were not kept."""
+
+    _open: list[Tidy] = []
+
+    def __enter__(self) -> Tidy:
+        self._made: list[DataFrame] = []
+        Tidy._open.append(self)
+        return self
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Leave these to whoever opened the Tidy around this one."""
+        paths = {getattr(t, "_marlstone_path", None) for t in tables}
+        outer = Tidy._open[-2]._made if len(Tidy._open) > 1 else []
+        outer += [t for t in self._made if t._marlstone_path in paths]
+        self._made = [t for t in self._made if t._marlstone_path not in paths]
+
+    def __exit__(self, kind, *_) -> None:
+        Tidy._open.pop()
+        for made in self._made:
+            drop(made)
+
+
 def cut(df: DataFrame, name: str = "cut", **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
@@ -49,6 +74,8 @@ def cut(df: DataFrame, name: str = "cut", **options: str) -> DataFrame:
     df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._marlstone_path = path
+    if Tidy._open:
+        Tidy._open[-1]._made.append(out)
     return out
 
 

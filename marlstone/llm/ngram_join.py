@@ -25,7 +25,9 @@ Nothing is capped: large tiles are cut into blocks whose pairs are dealt out.
 
 Defined results: null text counts as empty; no words: n_shingles 0, own component; fewer
 than five words: the whole sequence is the one shingle; rows that share a doc_id share a
-component; rows with a null doc_id get a null component and link with nothing.
+component; rows with a null doc_id get a null component and link with nothing; a text of
+any length gives its whole set; an empty table gives no row; other columns, whatever their
+names, are not read, and come back unchanged from ``drop_near_copies``.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, drop, small_batches
+from .common import BROADCAST_BYTES, Tidy, cut, hinted, small_batches
 from .graph import components
 
 WORDS = 5
@@ -46,9 +48,11 @@ PERCENT = 75
 SKETCH_BITS = 20
 CHUNK_BITS = 14
 BITMAP_BITS = 1024
-BLOCK = 512
-LARGE = 2048
-BROADCAST_IDS = 500_000
+BLOCK = 4096
+LARGE = 8192
+SALTS = 16
+#: Documents that may share a shingle before its postings are dealt over several tasks.
+HOT = 16_384
 _MASK = (1 << 64) - 1
 
 
@@ -176,43 +180,54 @@ def _postings(docs: DataFrame, sketch, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         for batch in batches:
-            keys, ids, sizes = [], [], []
+            keys, ids, sizes, salts = [], [], [], []
             for doc, text in zip(*batch.columns, strict=True):
                 x = shingles(text.as_py(), words)
                 if not len(x):
                     continue
                 first = len(x) - need(len(x)) + 1
-                order = np.argsort(counts[(x & np.uint64(size - 1)).astype(np.int64)], kind="stable")[:first]
+                often = counts[(x & np.uint64(size - 1)).astype(np.int64)]
+                order = np.argsort(often, kind="stable")[:first]
+                number = doc.as_py()
                 keys.append(x[order])
-                ids.append(np.full(first, doc.as_py(), np.int64))
+                ids.append(np.full(first, number, np.int64))
                 sizes.append(np.full(first, len(x), np.int32))
+                parts = often[order] // HOT
+                mixed = int(_mix(np.uint64(number & _MASK)[None])[0] >> np.uint64(33))
+                salts.append(np.where(parts > 0, mixed % (parts + 1), -1).astype(np.int32))
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))],
-                    ["key", "doc", "n"],
+                    [
+                        pa.array(np.concatenate(keys).view(np.int64)),
+                        pa.array(np.concatenate(ids)),
+                        pa.array(np.concatenate(sizes)),
+                        pa.array(np.concatenate(salts)),
+                    ],
+                    ["key", "doc", "n", "salt"],
                 )
 
-    return docs.mapInArrow(run, "key long, doc long, n int")
+    return docs.mapInArrow(run, "key long, doc long, n int, salt int")
 
 
 def _whole_runs(batches: Iterator[pa.RecordBatch], least: int = 20_000) -> Iterator[pa.Table]:
     """Batches that are sorted by their first column, regrouped so that no key is cut in two.
 
-    Only the rows of a key that may go on are held back.
+    Only the rows of a key that may go on are held back, and no row is copied twice.
     """
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        last = int(np.searchsorted(key, key[-1]))
+        ends = last > 0 or (bool(held) and held[-1].column(0)[-1].as_py() != key[0])
+        if ends and size + last >= least:  # all before the batch's last key is whole
+            done = [*held, batch.slice(0, last)] if last else held
+            yield pa.Table.from_batches(done).combine_chunks()
+            held, size, batch = [], 0, batch.slice(last)
         held.append(batch)
         size += batch.num_rows
-        if size >= least:
-            table = pa.Table.from_batches(held).combine_chunks()
-            key = table.column(0).to_numpy()
-            last = int(np.searchsorted(key, key[-1]))
-            if last:
-                yield table.slice(0, last)
-            held = table.slice(last).to_batches()
-            size = table.num_rows - last
     if size:
         yield pa.Table.from_batches(held).combine_chunks()
 
@@ -220,39 +235,51 @@ def _whole_runs(batches: Iterator[pa.RecordBatch], least: int = 20_000) -> Itera
 def _tiles(postings: DataFrame) -> DataFrame:
     """Postings of keys with more than one document, with the leader of their tile.
 
-    Input is dealt and sorted by key.
+    Input is dealt by key, and a key that more than ``HOT`` documents may share by a salt too
+    (-1: none); each salt has a leader of its own, and :func:`_stars` ties these to one.
     """
 
-    def shared(key, doc, n):
+    def shared(key, doc, n, salt):
         same = np.zeros(len(key), bool)
         equal = key[1:] == key[:-1]
         same[1:] |= equal
         same[:-1] |= equal
-        key, doc, n = key[same], doc[same], n[same]
+        same |= salt >= 0  # alone in its salt, but not in its key
+        key, doc, n, salt = key[same], doc[same], n[same], salt[same]
         b = band(n)
-        order = np.lexsort((doc, b, key))
-        key, doc, n, b = key[order], doc[order], n[order], b[order]
+        order = np.lexsort((doc, b, salt, key))
+        key, doc, n, salt, b = key[order], doc[order], n[order], salt[order], b[order]
         once = np.ones(len(key), bool)  # rows repeated with their doc_id post once
         once[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (n[1:] != n[:-1])
-        key, doc, n, b = key[once], doc[once], n[once], b[once]
+        key, doc, n, salt, b = key[once], doc[once], n[once], salt[once], b[once]
         new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (b[1:] != b[:-1])
+        new[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1]) | (b[1:] != b[:-1])
         lead = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-        return pa.RecordBatch.from_arrays(list(map(pa.array, (key, doc, n, lead))), ["key", "doc", "n", "leader"])
+        columns = (key, doc, n, lead, np.where(salt < 0, -1, b))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in _whole_runs(batches):
-            yield shared(*(whole.column(c).to_numpy() for c in ("key", "doc", "n")))
+            yield shared(*(whole.column(c).to_numpy() for c in ("key", "doc", "n", "salt")))
 
-    dealt = postings.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "key long, doc long, n int, leader long")
+    names, types = ["key", "doc", "n", "leader", "hot_band"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+    dealt = postings.repartition("key", "salt").sortWithinPartitions("key", "salt")
+    return dealt.mapInArrow(run, "key long, doc long, n int, leader long, hot_band int")
+
+
+def _stars(tiles: DataFrame) -> DataFrame:
+    """Pairs of each tile's leader and members, and of the leaders of one hot key's salts."""
+    star = tiles.select(F.col("leader").alias("x"), F.col("doc").alias("y"))
+    leaders = tiles.where("hot_band >= 0").groupBy("key", "hot_band", "leader").agg(F.lit(1).alias("_")).drop("_")
+    first = leaders.groupBy("key", "hot_band").agg(F.min("leader").alias("x"))
+    star = star.unionByName(leaders.join(first, ["key", "hot_band"]).select("x", F.col("leader").alias("y")))
+    return star.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 # -- checking ------------------------------------------------------------------------
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with an id in ``ids``: broadcast up to BROADCAST_IDS, else by a shuffle."""
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(side, "doc_id", "left_semi")
+    """The rows of ``docs`` with an id in ``ids``."""
+    return docs.join(hinted(ids, 32), "doc_id", "left_semi")
 
 
 def _check_pairs(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
@@ -360,37 +387,42 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
     spark = documents.sparkSession
     small_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    first = cut(_first_pass(docs, words), "sets")
-    sketch = spark.sparkContext.broadcast(_merged_sketch(first.where("chunk is not null").select("chunk", "counts")))
-    sets = first.where("chunk is null").select("doc_id", "n", "d1", "d2")
-    named = sets.where("doc_id is not null and n > 0")
-    signed = first.where("doc_id is not null and n > 0").select(F.col("doc_id").alias("doc"), "n", "bits").dropDuplicates()
-    # salted before whole, so that a group of very many equal sets is combined in parts
-    least = (
-        named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")).where("k > 1")
-    )
-    least = cut(least.select("d1", "d2", "n", "rep"), "least")
-    copies = cut(named.join(least, ["d1", "d2", "n"]).where("doc_id <> rep").select("doc_id", "rep"), "copies")
-    same = copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    # an id that also names another set is not only a copy: it still posts
-    many = named.select("doc_id", "d1", "d2").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1")
-    gone = cut(copies.select("doc_id").distinct().join(many, "doc_id", "left_anti"), "gone")
-    hint = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    reps = docs.where("doc_id is not null").join(hint, "doc_id", "left_anti")
-
-    tiles = cut(_tiles(_postings(reps, sketch, words)), "tiles")
-    star = tiles.where("doc <> leader").select(F.least("leader", "doc").alias("a"), F.greatest("leader", "doc").alias("b"))
-    pairs = cut(star.distinct(), "pairs")
-    links = cut(_check_pairs(pairs, reps, words), "links")
-    found = cut(components(links), "components")
-    rest = cut(_rest_pairs(tiles, found, signed).join(pairs, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        links = cut(links.union(_check_pairs(rest, reps, words)), "links")
-    drop(tiles)
-    if rest.isEmpty() and copies.isEmpty():
-        ends = found
-    else:
-        ends = cut(components(links.union(same)), "components")
+    with Tidy() as tidy:
+        first = cut(_first_pass(docs, words), "sets")
+        sketch = spark.sparkContext.broadcast(_merged_sketch(first.where("chunk is not null").select("chunk", "counts")))
+        sets = first.where("chunk is null").select("doc_id", "n", "d1", "d2")
+        named = sets.where("doc_id is not null and n > 0")
+        signed = first.where("doc_id is not null and n > 0").select(F.col("doc_id").alias("doc"), "n", "bits").dropDuplicates()
+        # each input partition sends one minimum for a set, however many equal ones it has
+        least = (
+            named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")).where("k > 1")
+        )
+        least = cut(least.select("d1", "d2", "n", "rep"), "least")
+        # beyond a broadcast's size the sides are salted: a set's rows are dealt over SALTS keys
+        few = least.count() * 64 <= BROADCAST_BYTES
+        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        salted = named.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        by = ["d1", "d2", "n"]
+        met = named.join(F.broadcast(least), by) if few else salted.join(least.withColumn("salt", F.explode(salts)), [*by, "salt"])
+        copies = cut(met.where("doc_id <> rep").select("doc_id", "rep"), "copies")
+        same = copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+        # an id that also names another set is not only a copy: it still posts
+        many = named.select("doc_id", "d1", "d2").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1")
+        gone = cut(copies.select("doc_id").distinct().join(many, "doc_id", "left_anti"), "gone")
+        reps = docs.where("doc_id is not null").join(hinted(gone, 32), "doc_id", "left_anti")
+
+        tiles = cut(_tiles(_postings(reps, sketch, words)), "tiles")
+        pairs = cut(_stars(tiles), "pairs")
+        links = cut(_check_pairs(pairs, reps, words), "links")
+        found = cut(components(links), "components")
+        rest = cut(_rest_pairs(tiles, found, signed).join(pairs, ["a", "b"], "left_anti"), "rest")
+        if not rest.isEmpty():
+            links = cut(links.union(_check_pairs(rest, reps, words)), "links")
+        if rest.isEmpty() and copies.isEmpty():
+            ends = found
+        else:
+            ends = cut(components(links.union(same)), "components")
+        tidy.keep(first, ends)
     ids = ends.select(F.col("id").alias("doc_id"), "component")
     return sets.join(ids, "doc_id", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
@@ -400,6 +432,6 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
 def drop_near_copies(documents: DataFrame) -> DataFrame:
     """``documents`` with the least doc_id of each component; rows with a null doc_id stay."""
     found = near_duplicates(documents).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = cut(found, "near-gone")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return documents.join(side, documents["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    rows = documents.select(F.struct(*documents.columns).alias("_own"))
+    gone = hinted(cut(found, "near-gone"), 32)
+    return rows.join(gone, F.col("_own.doc_id").cast("long") == F.col("_gone"), "left_anti").select("_own.*")

@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, hinted, let, text_of, words_of
+from .common import Tidy, cut, hinted, let, text_of, words_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of a span that are near it.
@@ -350,13 +350,15 @@ def find_personal_data(
     every = F.concat(*(F.col(f"_{k}") for k in KINDS))
     key = {"_digest": _digest(text_of(docs)), "_text": text_of(docs), "_spans": ordered(every)}
     texts = rows.where(F.size(every) > 0).select(*(value.alias(name) for name, value in key.items()))
-    texts = cut(texts.dropDuplicates(["_digest"]), "pii-texts")
     none = F.array().cast(_SPAN)
-    terms = disclosing_terms(docs, texts, reach, bits, remove_bits, share)
-    if terms is None:
-        return rows.withColumn("_term", none)
-    by_text = terms.groupBy("_digest").agg(F.collect_list(F.struct("term", "removed")).alias("_terms"))
-    by_text = cut(by_text, "pii-disclosed")
+    with Tidy() as tidy:
+        texts = cut(texts.dropDuplicates(["_digest"]), "pii-texts")
+        terms = disclosing_terms(docs, texts, reach, bits, remove_bits, share)
+        if terms is None:
+            return rows.withColumn("_term", none)
+        by_text = terms.groupBy("_digest").agg(F.collect_list(F.struct("term", "removed")).alias("_terms"))
+        by_text = cut(by_text, "pii-disclosed")
+        tidy.keep(by_text)
     side = hinted(by_text, 64 * F.size("_terms") + 128)
     joined = rows.withColumn("_digest", _digest(text_of(docs))).join(side, "_digest", "left")
     spans = _told_spans(text_of(docs), F.col("_terms")).cast(_SPAN)

@@ -7,7 +7,10 @@ their weights.  The k-th largest key is found by counting in 2^16 ranges of the
 times finer each time, so nothing is sorted or collected but those counts.
 
 Defined results: null text has no n-grams and log weight 0; without trusted rows all log
-weights are 0; equal keys are taken by the hash of their doc_id, then by doc_id, null last.
+weights are 0; equal keys are taken by a second hash of the doc_id, then by doc_id, null last; rows
+with a null doc_id draw their noise by their text; repeated rows draw the same noise and are
+told apart by a count; a text of any length counts whole; an empty table gives no row; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -62,7 +65,9 @@ def resample(
 ) -> DataFrame:
     """One row per document: doc_id, n_grams, log_weight, gumbel_key, selected."""
     target = F.broadcast(trusted_ids(labels, target_rows))
-    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(text_of(docs)).alias("_words"))
+    number = F.col("doc_id").cast("long")
+    own = F.when(number.isNull(), F.xxhash64(text_of(docs))).otherwise(number)
+    words = docs.select(number.alias("doc_id"), own.alias("_own"), words_of(text_of(docs)).alias("_words"))
     marked = words.join(target, F.col("doc_id") == F.col("_target_id"), "left").select(
         F.col("_target_id").isNotNull().alias("trusted"), "_words"
     )
@@ -71,12 +76,12 @@ def resample(
     n = F.size("_words")
     score = let(grams(F.col("_words"), buckets), lambda g: weight_sum(g, weights))
     # 52 bits of a hash as a number in (0, 1)
-    unit = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 12) + 0.5) / float(1 << 52)
+    unit = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("_own")), 12) + 0.5) / float(1 << 52)
     key = F.col("log_weight") - F.log(-F.log(unit))
     rows = cut(
-        words.select("doc_id", F.greatest(2 * n - 1, F.lit(0)).cast("long").alias("n_grams"), score.alias("log_weight"))
+        words.select("doc_id", "_own", F.greatest(2 * n - 1, F.lit(0)).cast("long").alias("n_grams"), score.alias("log_weight"))
         .withColumn("gumbel_key", F.round(key * _SCALE).cast("long"))
-        .withColumn("_tie", F.xxhash64(F.lit(seed + 1), F.col("doc_id"))),
+        .withColumn("_tie", F.xxhash64(F.lit(seed + 1), F.col("_own"))),
         "weights",
     )
     k = int(-(-rows.count() * int(fraction * 10_000) // 10_000))
