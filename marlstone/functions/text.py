@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,18 +23,43 @@ def normalise(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else normal_text(t))
 
 
-def char_grams(n: int):
-    """Arrow UDF: sorted distinct character n-grams of the normalised text.
+#: Bits of a set's signature.
+SIGNATURE_BITS = 4096
+_BASE = 0x110001
 
-    A text of at most n characters is its one gram; empty and null texts have none.
+
+def gram_codes(text: str | None, n: int) -> np.ndarray:
+    """Sorted distinct 64-bit codes of the character n-grams of the normalised text.
+
+    A text of fewer than n characters is its one gram; empty and null texts have none.  Up to three
+    characters a code is the gram itself; longer grams are hashed.
     """
+    plain = normal_text(text or "")
+    if not plain:
+        return np.empty(0, np.uint64)
+    points = np.frombuffer(plain.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    width = min(n, len(points))
+    codes = np.zeros(len(points) - width + 1, np.uint64)
+    for k in range(width):
+        codes = codes * np.uint64(_BASE) + points[k : len(points) - width + 1 + k]
+        if k >= 3:
+            codes = (codes ^ (codes >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
+    return np.unique(codes)
+
+
+def signature(codes: np.ndarray) -> bytes:
+    """A bit for each residue, flipped by each code: two differ in no more bits than the sets in elements."""
+    mixed = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SIGNATURE_BITS.bit_length() + 1)
+    odd = np.bincount(mixed.astype(np.int64), minlength=SIGNATURE_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def grams(texts: pd.Series) -> pd.Series:
-        def one(text: str | None) -> list[str]:
-            plain = normal_text(text or "")
-            return sorted({plain[i : i + n] for i in range(max(1, len(plain) - n + 1))}) if plain else []
+def gram_sets(n: int):
+    """Arrow UDF: struct n_grams, codes, bits of a text."""
 
-        return texts.map(one)
+    @F.pandas_udf("n_grams int, codes array<long>, bits binary")
+    def sets(texts: pd.Series) -> pd.DataFrame:
+        codes = [gram_codes(text, n) for text in texts]
+        return pd.DataFrame({"n_grams": [len(c) for c in codes], "codes": [c.view(np.int64) for c in codes], "bits": [signature(c) for c in codes]})
 
-    return grams
+    return sets
