@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 from ..functions.jcs import arr, id_of, json_string, obj
 
 
+def duplicate_members(rows: DataFrame, keys: list[str], member: str) -> DataFrame:
+    """A row for each member of a group of two or more: its keys, owner (the least) and the group's size.
+
+    No list is built, so a group may hold any share of all rows.
+    """
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("n_members"), F.min(member).alias("owner"))
+    return rows.select(*keys, member).join(counted.where("n_members > 1"), keys)
+
+
 def duplicate_groups(rows: DataFrame, keys: list[str], member: str) -> DataFrame:
     """Groups of two or more members with equal keys: the least is the owner, none is dropped.
 
-    Keys of one row alone are left out before the members are gathered.
+    One row lists all members of a group; where groups have no bound, take :func:`duplicate_members`.
     """
-    counted = rows.groupBy(*keys).agg(F.count("*").alias("n_members"), F.min(member).alias("owner"))
-    large = counted.where("n_members > 1")
-    members = rows.select(*keys, member).join(large, keys)
+    members = duplicate_members(rows, keys, member)
     gathered = members.groupBy(*keys, "owner", "n_members").agg(F.array_sort(F.collect_list(member)).alias("members"))
     aliases = F.slice("members", 2, F.size("members"))
     return gathered.select(*keys, "owner", aliases.alias("aliases"), "n_members")
@@ -55,10 +62,15 @@ def behavior_conflicts(found: DataFrame) -> DataFrame:
     )
 
 
+def identities(rows: DataFrame, kinds: list[str], member: str) -> DataFrame:
+    """Distinct (identity_type, identity_value, member); nulls are left out."""
+    return rows.unpivot([member], kinds, "identity_type", "identity_value").where("identity_value is not null").distinct()
+
+
 def membership(rows: DataFrame, kinds: list[str], member: str) -> DataFrame:
-    """(identity_type, identity_value) to sorted distinct members; nulls are left out."""
-    long = rows.unpivot([member], kinds, "identity_type", "identity_value").where("identity_value is not null")
-    return long.groupBy("identity_type", "identity_value").agg(F.array_sort(F.collect_set(member)).alias("members"))
+    """(identity_type, identity_value) to sorted distinct members, one list each; :func:`identities` builds none."""
+    long = identities(rows, kinds, member)
+    return long.groupBy("identity_type", "identity_value").agg(F.array_sort(F.collect_list(member)).alias("members"))
 
 
 def no_repeat(rows: DataFrame, seen: DataFrame, kinds: list[str]) -> DataFrame:

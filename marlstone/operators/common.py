@@ -4,16 +4,26 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed to the shared folder (``spark.checkpoint.dir``).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none, on one machine, a temporary folder is used.
+    Only where the session names none and runs on one machine, a temporary folder is made.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='marlstone-')}"
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="marlstone-"))
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -6,9 +6,12 @@ in the order of the chain; an id given twice is a fault of every member that use
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.jcs import canonical, digest, stable_id
+from ..functions.strict_json import loads
+
 
 def _once(rows: DataFrame, key: str, prefix: str) -> DataFrame:
     """One row for each key: how often it came, and its columns under a prefix."""
@@ -80,3 +83,117 @@ def failure(kind: Column, http_status: Column) -> dict[str, Column]:
         .otherwise("do_not_retry")
     )
     return {"failure_code": code, "disposition": disposition}
+
+
+# -- release files -------------------------------------------------------------------
+RELEASE_VERSION = "release-manifest-0.1.0"
+
+
+class ReleaseError(ValueError):
+    pass
+
+
+def dataset_hash(files: list[dict]) -> str:
+    """Hash of the ordered files' paths, bytes and row counts."""
+    return digest([{k: f[k] for k in ("relative_path", "sha256", "row_count")} for f in files])
+
+
+def described_files(spark: SparkSession, root: str, relative: list[str]) -> list[dict]:
+    """relative_path, sha256 and row_count of data files, each hashed in a task of its own."""
+    if relative != sorted(set(relative)) or any(p.startswith("/") or ".." in p.split("/") for p in relative):
+        raise ReleaseError("files must be relative, sorted and each once")
+    if not relative:
+        raise ReleaseError("a release has at least one file")
+    base = root.rstrip("/")
+    text = F.decode("content", "ISO-8859-1")
+    ends = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    files = spark.read.format("binaryFile").load([f"{base}/{p}" for p in relative])
+    found = files.select("path", F.sha2("content", 256).alias("sha"), ends.cast("long").alias("n"), text.endswith("\n").alias("whole")).collect()
+    by_name = {next(p for p in relative if r.path.endswith(f"/{p}")): r for r in found}
+    if bad := [p for p in relative if not by_name[p].whole]:
+        raise ReleaseError(f"a file is empty or ends inside a line: {bad[0]}")
+    return [{"relative_path": p, "sha256": f"sha256:{by_name[p].sha}", "row_count": by_name[p].n} for p in relative]
+
+
+def build_manifest(spark: SparkSession, root: str, relative: list[str], members: list[dict]) -> dict:
+    """The manifest of a release's files and its members (episode_id, verdict_id, human_review_id), in order."""
+    files = described_files(spark, root, relative)
+    body = {
+        "schema_version": RELEASE_VERSION,
+        "dataset_sha256": dataset_hash(files),
+        "dataset_row_count": sum(f["row_count"] for f in files),
+        "files": files,
+        "gold_members": members,
+    }
+    manifest = {"release_id": stable_id("release", body), **body}
+    if faults := manifest_faults(manifest) + dataset_faults(spark, root, manifest):
+        raise ReleaseError("; ".join(faults))
+    return manifest
+
+
+def manifest_faults(manifest: dict) -> list[str]:
+    """What a release manifest says that does not hold in itself."""
+    files, members = manifest["files"], manifest["gold_members"]
+    paths, ids, reviews = ([x[k] for x in rows] for rows, k in ((files, "relative_path"), (members, "episode_id"), (members, "human_review_id")))
+    rules = (
+        (not files or not members, "no_files_or_members"),
+        (paths != sorted(set(paths)), "files_not_sorted_or_repeated"),
+        (ids != sorted(set(ids)), "members_not_sorted_or_repeated"),
+        (len(reviews) != len(set(reviews)), "review_admits_two"),
+        (manifest["dataset_row_count"] != sum(f["row_count"] for f in files), "rows_do_not_add_up"),
+        (manifest["dataset_row_count"] != len(members), "rows_are_not_members"),
+        (manifest["dataset_sha256"] != dataset_hash(files), "dataset_hash"),
+        (manifest["release_id"] != stable_id("release", {k: v for k, v in manifest.items() if k != "release_id"}), "identity"),
+    )
+    return [name for test, name in rules if test]
+
+
+def write_manifest(manifest: dict, path: str) -> dict:
+    """One canonical line in a new file; a file that is there is never replaced."""
+    with open(path, "x", encoding="utf-8", newline="") as out:
+        out.write(canonical(manifest) + "\n")
+    return {"release_id": manifest["release_id"], "path": path}
+
+
+def read_manifest(path: str) -> dict:
+    """The one record of a manifest file, checked in itself."""
+    with open(path, "rb") as source:
+        lines = source.read().split(b"\n")
+    if len(lines) != 2 or lines[1]:
+        raise ReleaseError("a release manifest is exactly one line")
+    manifest = loads(lines[0])
+    if not isinstance(manifest, dict) or (faults := manifest_faults(manifest)):
+        raise ReleaseError(f"the manifest does not hold: {faults if isinstance(manifest, dict) else 'no object'}")
+    return manifest
+
+
+def dataset_rows(spark: SparkSession, root: str, manifest: dict) -> DataFrame:
+    """(position, episode_id) of the release's rows over its files in order."""
+    order = {f["relative_path"]: i for i, f in enumerate(manifest["files"])}
+    before, at = {}, 0
+    for f in manifest["files"]:
+        before[f["relative_path"]] = at
+        at += f["row_count"]
+    paths = [f"{root.rstrip('/')}/{p}" for p in order]
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("n"), F.get_json_object("value", "$.episode_id").alias("episode_id")
+    )
+    first = F.lit(None).cast("long")
+    for relative, n in before.items():
+        first = F.when(F.col("path").endswith(f"/{relative}"), F.lit(n)).otherwise(first)
+    inside = F.row_number().over(Window.partitionBy("path").orderBy("n"))
+    return lines.select((first + inside).alias("position"), "episode_id")
+
+
+def dataset_faults(spark: SparkSession, root: str, manifest: dict) -> list[str]:
+    """Where the files on disk are not those of the manifest, or their rows not its members in order."""
+    try:
+        seen = described_files(spark, root, [f["relative_path"] for f in manifest["files"]])
+    except ReleaseError as error:
+        return [str(error)]
+    faults = [f"other_file {a['relative_path']}" for a, b in zip(manifest["files"], seen, strict=True) if a != b]
+    if faults:
+        return faults
+    listed = [(i, m["episode_id"]) for i, m in enumerate(manifest["gold_members"], 1)]
+    wrong = order_problems(dataset_rows(spark, root, manifest), spark.createDataFrame(listed, "position long, episode_id string"))
+    return [f"other_row {r.position}" for r in wrong.orderBy("position").limit(20).collect()]

@@ -36,10 +36,21 @@ def keys(df: DataFrame, member: str, stratum: dict[str, Column]) -> DataFrame:
 
 
 def round_robin(df: DataFrame, member: str, out: str = "rank") -> DataFrame:
-    """Depth 0 of every stratum in key order, then depth 1, and so on: one global rank."""
-    depth = F.row_number().over(Window.partitionBy("stratum_key").orderBy("rank_key", member)) - 1
-    deep = df.withColumn("depth", depth.cast("long"))
-    return ordered_rank(deep, ["depth", "stratum_key"], out)
+    """Depth 0 of every stratum in key order, then depth 1, and so on: one global rank.
+
+    A stratum of any size spans several ranges of (stratum, rank key): its rows' depths are
+    their ranks inside the range and the rows of the stratum in the ranges before it.
+    """
+    order = ["stratum_key", "rank_key", member]
+    n = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
+    inside = settled(parts.withColumn("_in", F.row_number().over(Window.partitionBy("_part", "stratum_key").orderBy("rank_key", member))))
+    # one row for each stratum of a range
+    sizes = inside.groupBy("stratum_key", "_part").agg(F.max("_in").alias("_n"))
+    earlier = Window.partitionBy("stratum_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("stratum_key", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    deep = inside.join(before, ["stratum_key", "_part"]).withColumn("depth", (F.col("_before") + F.col("_in") - 1).cast("long"))
+    return ordered_rank(deep.drop("_part", "_in", "_before"), ["depth", "stratum_key"], out)
 
 
 def exclusion_reasons(verdict: Column, adjudicated: Column, conflict: Column, grounding: Column) -> Column:
@@ -72,21 +83,86 @@ def cohort(df: DataFrame, namespace: str, order: list[str], offset: int, limit:
 def greedy_budget(df: DataFrame, order: str, cost: str, member: str, budget: int, limit: int) -> DataFrame:
     """Members in order, skipping those that do not fit, until ``limit`` are taken.
 
-    A fold with state: only the (order, cost, member) of the candidates are gathered.
+    What did not fit once never fits later, as the budget only shrinks.  So the first
+    ``limit`` candidates after the last one taken that fit now are all that is looked at
+    (a bounded top-k of the table); where one of them stops fitting, the next ones are asked for.
+    """
+    spark = df.sparkSession
+    rows = settled(df.select(F.col(order).alias("o"), F.col(cost).cast("long").alias("c"), F.col(member).alias("m")).where("c is not null"))
+    kinds = [kind for _, kind in rows.select("o", "m").dtypes]
+    taken: list[tuple] = []
+    left, last = budget, None
+    while len(taken) < limit:
+        fits = rows.where(F.col("c") <= left)
+        if last is not None:
+            fits = fits.where(F.struct("o", "m") > F.struct(*(F.lit(x).cast(kind) for x, kind in zip(last, kinds, strict=True))))
+        some = fits.orderBy("o", "m").limit(limit).collect()
+        for row in some:
+            last = (row.o, row.m)
+            if row.c <= left and len(taken) < limit:
+                left -= row.c
+                taken.append((len(taken) + 1, row.m))
+        if len(some) < limit:
+            break
+    return spark.createDataFrame(taken, f"rank long, {member} {dict(df.dtypes)[member]}")
+
+
+#: Policy versions in rank keys, by the key's name.
+RANK_POLICIES = {"candidate_policy_version": "autonomous-candidate-0.1.1", "canary_policy_version": "pre-review-canary-0.1.0"}
+
+
+def cohort_key(policy: str, episode: Column, variant: Column) -> Column:
+    """Rank key of an episode and its variant under a policy named in RANK_POLICIES."""
+    version = json_string(F.lit(RANK_POLICIES[policy]))
+    return sha(obj(**{policy: version, "episode_id": json_string(episode), "input_variant_id": json_string(variant)}))
+
+
+def eligible(episodes: DataFrame, conflicts: DataFrame, aliases: DataFrame, member: str = "episode_id") -> DataFrame:
+    """Unreviewed episodes of explicit evidence that are in no conflict and no alias of another.
+
+    conflicts and aliases have a row for each member: two anti joins, no list.
+    """
+    fit = episodes.where("quality_state = 'unreviewed' and evidence_status = 'source_explicit'")
+    for out in (conflicts, aliases):
+        fit = fit.join(out.select(member).distinct(), member, "left_anti")
+    return fit
+
+
+class SelectionError(ValueError):
+    pass
+
+
+def automation_cohort(
+    df: DataFrame, namespace: str, order: list[str], segments: str, n: int, budget: int, offset: int = 0
+) -> DataFrame:
+    """``n`` rows by round-robin over namespaces after ``offset`` rows; rows without segments do not count.
+
+    Fails where too few are left or their segments pass the budget.  Of a namespace only
+    the first offset + n rows can be chosen, which each input partition finds for itself
+    before anything is shuffled.
+    """
+    if not 1 <= n <= 1000 or budget < 1 or offset < 0:
+        raise SelectionError("n must be 1 to 1000, the budget positive, the offset not negative")
+    chosen = settled(cohort(df.where(F.col(segments) > 0), namespace, order, offset, n).withColumn("rank", F.col("rank") - offset))
+    count, total = chosen.agg(F.count("*"), F.coalesce(F.sum(segments), F.lit(0))).first()
+    if count < n:
+        raise SelectionError(f"{count} rows left of the {n} asked for")
+    if total > budget:
+        raise SelectionError(f"{total} segments pass the budget of {budget}")
+    return chosen
+
+
+def frozen(queue: DataFrame, member: str, n: int = 400) -> DataFrame:
+    """(rank, reserve_rank, member): the first ``n`` of the ranked queue without a reason against them.
+
+    queue: rank, member, reasons (array).  Fails where there are fewer.
     """
-    items = df.agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(cost).cast("long").alias("c"), F.col(member).alias("m")))).alias("x"))
-    kind = dict(df.dtypes)[member]
-    zero = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast(f"array<{kind}>").alias("kept"))
-
-    def step(acc: Column, x: Column) -> Column:
-        fits = (F.size(acc["kept"]) < limit) & (acc["sum"] + x["c"] <= budget)
-        return F.struct(
-            F.when(fits, acc["sum"] + x["c"]).otherwise(acc["sum"]).alias("sum"),
-            F.when(fits, F.concat(acc["kept"], F.array(x["m"]))).otherwise(acc["kept"]).alias("kept"),
-        )
-
-    kept = items.select(F.aggregate("x", zero, step)["kept"].alias("kept"))
-    return kept.select(F.posexplode("kept").alias("pos", member)).select((F.col("pos") + 1).cast("long").alias("rank"), member)
+    fit = queue.where(F.size("reasons") == 0).orderBy("rank").limit(n)
+    rank = F.row_number().over(Window.orderBy("rank"))  # over n rows
+    out = settled(fit.select(rank.cast("long").alias("rank"), F.col("rank").alias("reserve_rank"), member))
+    if (found := out.count()) < n:
+        raise SelectionError(f"a freeze needs {n} candidates without a reason against them; there are {found}")
+    return out
 
 
 def in_sample(unit: Column, basis_points: int) -> Column:

@@ -1,46 +1,66 @@
-"""Near-duplicate candidates by exact prefix filtering, components, split leakage."""
+"""Near-duplicate candidates by size blocks and signatures, components, split leakage."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import char_grams
+from ..functions.text import gram_sets
 from .common import settled
+from .selection import ordered_rank
 
 
 def candidates(docs: DataFrame, member: str, text: str, n: int = 3, threshold: float = 0.82) -> DataFrame:
-    """(left, right, score) with Jaccard of character n-grams >= threshold, left < right.
+    """(left, right, score) with Jaccard of character n-grams >= threshold, left < right; nothing is dropped.
 
-    Sets are ordered rarest gram first; two sets of enough overlap share a gram in the
-    first |x| - ceil(t |x|) + 1 of each.  Where positions or sizes already rule a pair out it
-    is dropped before its sets are compared.  Similarity never drops a document.
+    Documents are put in order of their set's size and cut into blocks.  Sets can be that
+    similar only if their sizes are, so only blocks of near sizes meet, each pair of blocks
+    in one task; there bit signatures bound the overlap from above, and what passes is
+    compared exactly.  Character n-grams are too common for an inverted index: nearly every
+    text has nearly all of them.
+
+    A text that is empty after normalisation fails the query.  With threshold 0 every pair
+    is asked for, and given.
     """
-    if not 0 < threshold <= 1 or n < 1:
-        raise ValueError("threshold must be in (0, 1] and n positive")
-    grams = docs.select(F.col(member).alias("id"), char_grams(n)(text).alias("grams")).where(F.size("grams") > 0)
-    sized = settled(grams.withColumn("size", F.size("grams")))
-    posted = sized.select("id", "size", F.explode("grams").alias("gram"))
-    frequency = posted.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    place = F.row_number().over(Window.partitionBy("id").orderBy("rare", "df", "gram"))
-    ranked = posted.join(frequency, "gram", "left").withColumn("rare", F.coalesce("df", F.lit(1)) > 1).withColumn("place", place)
-    need = F.ceil(F.col("size") * threshold - 1e-9)
-    prefix = ranked.where((F.col("place") <= F.col("size") - need + 1) & F.col("rare")).select("gram", "id", "size", "place")
-    right = prefix.select("gram", *(F.col(c).alias(f"r_{c}") for c in ("id", "size", "place")))
-    overlap = F.ceil((F.col("size") + F.col("r_size")) * (threshold / (1 + threshold)) - 1e-9)
-    reach = F.least(F.col("size") - F.col("place"), F.col("r_size") - F.col("r_place")) + F.least("place", "r_place")
-    pairs = (
-        prefix.join(right, "gram")
-        .where((F.col("id") < F.col("r_id")) & (F.least("size", "r_size") >= F.greatest("size", "r_size") * threshold - 1e-9))
-        .where(reach >= overlap)
-        .select(F.col("id").alias("left_id"), F.col("r_id").alias("right_id"))
-        .distinct()
-    )
-    sets = lambda side: sized.select(F.col("id").alias(f"{side}_id"), F.col("grams").alias(f"{side}_grams"))
-    both = pairs.join(sets("left"), "left_id").join(sets("right"), "right_id")
-    shared = F.size(F.array_intersect("left_grams", "right_grams"))
-    score = shared / (F.size("left_grams") + F.size("right_grams") - shared)
-    return both.select("left_id", "right_id", score.alias("score")).where(F.col("score") >= threshold)
+    if not 0 <= threshold <= 1 or not 1 <= n <= 8:
+        raise ValueError("threshold must be 0 to 1 and n 1 to 8")
+    made = docs.select(F.col(member).alias("id"), gram_sets(n)(text).alias("s")).select("id", "s.*")
+    ranked = settled(ordered_rank(made, ["n_grams", "id"], "rank"))
+    total, empty = ranked.agg(F.count("*"), F.count_if(F.col("n_grams") == 0)).first()
+    if empty:
+        raise ValueError(f"{empty} texts are empty after normalisation")
+    width = min(8192, max(256, -(-total // 64)))
+    rows = ranked.withColumn("block", F.floor((F.col("rank") - 1) / width).cast("int"))
+    ends = rows.groupBy("block").agg(F.min("n_grams").alias("low"), F.max("n_grams").alias("high"))
+    i, j = ends.toDF("i", "low_i", "high_i"), ends.toDF("j", "low_j", "high_j")
+    meets = settled(i.join(j, (F.col("i") <= F.col("j")) & (F.col("high_i") >= F.col("low_j") * threshold - 1e-9)).select("i", "j"))
+    sides = meets.select(F.explode(F.array_distinct(F.array("i", "j"))).alias("block"), "i", "j")
+    spread = rows.select("block", "rank", "n_grams", "bits").join(F.broadcast(sides), "block")  # a row for each pair of blocks
+
+    def meet(table: pa.Table) -> pa.Table:
+        rank, size, block = (table.column(c).to_numpy().astype(np.int64) for c in ("rank", "n_grams", "block"))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(rank), -1)
+        one, two = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        out: list[np.ndarray] = []
+        for at in left:
+            fit = right[rank[right] > rank[at]] if one == two else right
+            both = size[fit] + size[at]
+            fit, both = (x[np.minimum(size[fit], size[at]) >= np.maximum(size[fit], size[at]) * threshold - 1e-9] for x in (fit, both))
+            differ = np.bitwise_count(bits[fit] ^ bits[at]).sum(axis=1).astype(np.int64)
+            fit = fit[(both - differ) // 2 >= both * (threshold / (1 + threshold)) - 1e-9]
+            out.append(np.stack([np.full(len(fit), rank[at]), rank[fit]]))
+        pairs = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+    pairs = spread.groupBy("i", "j").applyInArrow(meet, "a long, b long")
+    sets = lambda key, side: rows.select(F.col("rank").alias(key), F.col("id").alias(f"{side}_id"), F.col("codes").alias(f"{side}_codes"))
+    both = pairs.join(sets("a", "x"), "a").join(sets("b", "y"), "b")
+    shared = F.size(F.array_intersect("x_codes", "y_codes"))
+    score = shared / (F.size("x_codes") + F.size("y_codes") - shared)
+    return both.select(F.least("x_id", "y_id").alias("left_id"), F.greatest("x_id", "y_id").alias("right_id"), score.alias("score")).where(F.col("score") >= threshold)
 
 
 def components(members: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -62,10 +82,11 @@ def components(members: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFr
 
 
 def split_leakage(members: DataFrame) -> DataFrame:
-    """Components (root) whose members are in more than one split; a null split is an error row."""
+    """Components (root) whose members are in more than one split, or with a member without one (``n_missing``)."""
     grouped = members.groupBy("root").agg(
         F.array_join(F.array_sort(F.collect_set("split")), ",").alias("splits"),
         F.count_distinct("split").alias("n_splits"),
+        F.count_if(F.col("split").isNull()).alias("n_missing"),
         F.count("*").alias("n_members"),
     )
-    return grouped.where("n_splits > 1")
+    return grouped.where("n_splits > 1 or n_missing > 0")

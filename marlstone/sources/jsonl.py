@@ -1,26 +1,34 @@
 """Bronze scan of JSONL files: physical identity before parsing, quarantine, row accounting.
 
-Files are read as bytes; each physical line becomes a row, valid or quarantined with one
-code, so input rows always equal valid plus quarantined rows.  A line ends at LF or CR LF
-only.  Files are the unit of parallelism.
+Each physical line becomes a row, valid or quarantined with one code, so input rows always
+equal valid plus quarantined rows.  A line ends at LF or CR LF only.  Files are cut into
+byte ranges by Spark's own line reader (at LF alone), so a file of any size is read by many
+tasks.  A line's offset, number and sequence are those of its range's first line plus what
+runs before it in the range; the first ones come from a pass that sums lengths and counts
+by range, one small row each.
+
+Defined results: an empty file has no lines; a last line without LF is a line; null does not
+occur; a file that is not the registered one fails the read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.jcs import stable_id
-from ..functions.strict_json import record
+from ..functions.jcs import canonical, stable_id
+from ..functions.strict_json import loads, record
+from .publish import publish_shards
 
 MAX_RECORD_BYTES = 8 << 20
 SCHEMA = (
     "dataset_namespace string, snapshot_id string, source_occurrence_id string, relative_file_path string, "
-    "byte_offset long, byte_length long, source_line long, raw_record_sha256 string, raw_record_utf8 string, "
+    "byte_offset long, byte_length long, source_line long, source_sequence long, raw_record_sha256 string, raw_record_utf8 string, "
     "parsed_record string, source_native_id string, observed_paths array<string>, status string, code string"
 )
 
@@ -68,53 +76,134 @@ def _lines():
     return (ends + F.when((F.length(text) > 0) & ~text.endswith("\n"), 1).otherwise(0)).cast("long")
 
 
-def ingest(spark: SparkSession, snapshot: dict, limit: int = MAX_RECORD_BYTES, id_field: str = "id") -> DataFrame:
-    """Rows of SCHEMA; fails where a file no longer has its registered digest."""
-    known = {x["relative_path"]: x["sha256"] for x in snapshot["files"]}
+def verify(spark: SparkSession, snapshot: dict) -> None:
+    """Fail where a file is not the registered one any more; call it before and after a read."""
+    found = {x["relative_path"]: x for x in register(spark, snapshot["root"], snapshot["dataset_namespace"], snapshot["source_revision"])["files"]}
+    for known in snapshot["files"]:
+        if found.get(known["relative_path"]) != known:
+            raise ValueError(f"{known['relative_path']} changed since it was registered")
+    if len(found) != len(snapshot["files"]):
+        raise ValueError("a file came after the registration")
+
+
+def _ranged_lines(spark: SparkSession, root: str) -> DataFrame:
+    """(path, start, line): lines as bytes, in order inside each byte range."""
+    reader = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "true").option("lineSep", "\n")
+    lines = reader.text(root)
+    return lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("value").cast("binary").alias("line"),
+    )
+
+
+def ingest(spark: SparkSession, snapshot: dict, limit: int = MAX_RECORD_BYTES, id_field: str = "id", cap: int | None = None) -> DataFrame:
+    """Rows of SCHEMA; ``cap`` keeps the first so many lines of each file.
+
+    The snapshot is verified first; :func:`verify` again when the rows are written.
+    """
+    verify(spark, snapshot)
+    known = [x["relative_path"] for x in snapshot["files"]]
     root, namespace, snap = snapshot["root"], snapshot["dataset_namespace"], snapshot["snapshot_id"]
     names = [f.strip().split()[0] for f in SCHEMA.split(",")]
-
-    def rows(path: str, content: bytes) -> Iterator[tuple]:
-        relative = _relative(path, root)
-        if known.get(relative) != "sha256:" + hashlib.sha256(content).hexdigest():
-            raise ValueError(f"{relative} changed since it was registered")
-        at, line = 0, 0
-        while at < len(content):
-            end = content.find(b"\n", at)
-            after = len(content) if end < 0 else end + 1
-            raw = content[at:after]
-            if raw.endswith(b"\n"):
-                raw = raw[:-2] if raw.endswith(b"\r\n") else raw[:-1]
-            line += 1
-            value, canonical, code = record(raw, limit)
-            where = {"id_version": 1, "snapshot_id": snap, "relative_file_path": relative, "byte_offset": at}
-            native = value.get(id_field) if value else None
-            try:
-                text = raw.decode()
-            except UnicodeDecodeError:
-                text = None
-            yield (
-                namespace, snap, stable_id("occ", where), relative, at, len(raw), line,
-                "sha256:" + hashlib.sha256(raw).hexdigest(), text, canonical,
-                str(native) if isinstance(native, str | int) and not isinstance(native, bool) else None,
-                ["/" + k.replace("~", "~0").replace("/", "~1") for k in value] if value else [],
-                "quarantined" if code else "valid", code,
-            )
-            at = after
+    ranged = _ranged_lines(spark, root)
+    sums = ranged.groupBy("path", "start").agg(F.sum(F.octet_length("line") + 1).alias("size"), F.count("*").alias("n")).collect()
+    # one entry for each byte range
+    ranges: dict[tuple[str, int], tuple[str, int, int, int]] = {}
+    ordered = sorted((known.index(_relative(unquote(r.path), root)), r.start, r.path, r.size, r.n) for r in sums)
+    at = line = sequence = 0
+    last = None
+    for file, start, path, size, n in ordered:
+        if file != last:
+            last, at, line = file, 0, 0
+        ranges[path, start] = (known[file], at, line, sequence)
+        at, line, sequence = at + size, line + n, sequence + n
+    before = spark.sparkContext.broadcast(ranges)
+
+    def row(relative: str, at: int, number: int, sequence: int, raw: bytes) -> tuple:
+        raw = raw.removesuffix(b"\r")
+        value, canonical, code = record(raw, limit)
+        where = {"id_version": 1, "snapshot_id": snap, "relative_file_path": relative, "byte_offset": at}
+        native = value.get(id_field) if value else None
+        try:
+            text = raw.decode()
+        except UnicodeDecodeError:
+            text = None
+        return (
+            namespace, snap, stable_id("occ", where), relative, at, len(raw), number, sequence,
+            "sha256:" + hashlib.sha256(raw).hexdigest(), text, canonical,
+            str(native) if isinstance(native, str | int) and not isinstance(native, bool) else None,
+            ["/" + k.replace("~", "~0").replace("/", "~1") for k in value] if value else [],
+            "quarantined" if code else "valid", code,
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict[tuple[str, int], list] = {}
         for batch in batches:
-            for path, content in zip(*batch.columns, strict=True):
-                out = list(rows(path.as_py(), content.as_py()))
-                for i in range(0, len(out), 1000):
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out[i : i + 1000]], schema=arrow)
+            out = []
+            for path, start, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                now = state.setdefault((path, start), list(before.value[path, start]))
+                relative, at, line, sequence = now
+                now[1:] = at + len(raw) + 1, line + 1, sequence + 1
+                if cap is None or line < cap:
+                    out.append(row(relative, at, line + 1, sequence + 1, raw))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], names)
 
     text, number = pa.string(), pa.int64()
-    types = [text, text, text, text, number, number, number, text, text, text, text, pa.list_(text), text, text]
-    arrow = pa.schema(list(zip(names, types, strict=True)))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "true").load(root)
-    return files.select("path", "content").mapInArrow(run, SCHEMA)
+    types = [text, text, text, text, number, number, number, number, text, text, text, text, pa.list_(text), text, text]
+    return ranged.mapInArrow(run, SCHEMA)
+
+
+def strict(bronze: DataFrame) -> DataFrame:
+    """The parsed records in order of nothing but themselves; the first quarantined line fails the query with its code."""
+    where = F.concat_ws(" ", "code", F.lit("at"), "relative_file_path", F.lit("line"), F.col("source_line").cast("string"))
+    parsed = F.when(F.col("status") == "valid", F.col("parsed_record")).otherwise(F.raise_error(where).cast("string"))
+    return bronze.select("relative_file_path", "source_line", "source_sequence", parsed.alias("parsed_record"))
+
+
+def array_records(spark: SparkSession, path: str) -> DataFrame:
+    """(sequence, line) of a JSON file that holds one array of objects; anything else fails.
+
+    One JSON value is one file and is parsed in one task; the rows it gives are Spark's.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                items = loads(content.as_py())
+                if not isinstance(items, list) or not all(isinstance(x, dict) for x in items):
+                    raise ValueError("the file must hold one array of objects")
+                for at in range(0, len(items), 1000):
+                    part = items[at : at + 1000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(range(at + 1, at + 1 + len(part)), pa.int64()), pa.array([canonical(x) for x in part])], ["sequence", "line"]
+                    )
+
+    if not path.lower().endswith(".json"):
+        raise ValueError("the input must be a .json file")
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "sequence long, line string")
+
+
+def array_to_jsonl(spark: SparkSession, path: str, root: str) -> dict:
+    """Publish the array's objects as canonical JSONL under ``root``; a report of both sides by content."""
+    inside = lambda a, b: (a.rstrip("/") + "/").startswith(b.rstrip("/") + "/")
+    parent = path.rpartition("/")[0]
+    if inside(root, parent) or inside(parent, root):
+        raise ValueError("the output must lie apart from the input's folder")
+    source = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("sha"), "length").first()
+    manifest = publish_shards(array_records(spark, path), root, "source-array", "jsonl-0.1.0", "source", ["sequence"], shard_rows=1 << 62)
+    made = manifest["artifacts"][0]
+    body = {
+        "schema_version": "json-array-conversion-0.1.0",
+        "input_file_sha256": f"sha256:{source.sha}",
+        "input_byte_size": source.length,
+        "input_record_count": made["row_count"],
+        "output_file_sha256": made["sha256"],
+        "output_byte_size": made["size"],
+        "output_record_count": made["row_count"],
+        "output_relative_path": made["relative_path"],
+    }
+    return {"conversion_id": stable_id("convert", body), **body}
 
 
 def accounting(bronze: DataFrame) -> DataFrame:

@@ -41,13 +41,44 @@ def test_input_order_never_counts(spark):
 def test_similarity_and_components(spark):
     docs = [("a", "the quick brown fox"), ("b", "the quick brown fix"), ("c", "something else"), ("d", "THE  QUICK brown fox"), ("e", "xy"), ("f", "")]
     df = spark.createDataFrame(docs, "id string, text string")
-    pairs = {(r.left_id, r.right_id): r.score for r in similarity.candidates(df, "id", "text", 3, 0.75).collect()}
+    with pytest.raises(ValueError, match="empty"):
+        similarity.candidates(df, "id", "text", 3, 0.75)
+    full = df.where("id <> 'f'")
+    pairs = {(r.left_id, r.right_id): r.score for r in similarity.candidates(full, "id", "text", 3, 0.75).collect()}
+    assert similarity.candidates(full, "id", "text", 3, 0.0).count() == 10
     assert set(pairs) == {("a", "b"), ("a", "d"), ("b", "d")} and pairs["a", "d"] == 1.0
     edges = spark.createDataFrame(list(pairs), "left_id string, right_id string")
     roots = {r.id: r.root for r in similarity.components(df.select("id"), edges).collect()}
     assert roots == {"a": "a", "b": "a", "c": "c", "d": "a", "e": "e", "f": "f"}
 
 
+def test_similarity_by_brute_force(spark):
+    from marlstone.functions.text import normal_text
+
+    rng = random.Random(6)
+    base = ["".join(rng.choices("abcdeé ßﬁ", k=rng.randint(1, 60))).strip() or "x" for _ in range(12)]
+    texts = []
+    for i in range(150):
+        t = list(rng.choice(base))
+        for _ in range(rng.randint(0, 3)):
+            t[rng.randrange(len(t))] = rng.choice("abcxyz")
+        texts.append("".join(t))
+    for n, threshold in ((3, 0.82), (5, 0.6), (1, 1.0)):
+        sets = []
+        for t in texts:
+            x = normal_text(t)
+            sets.append({x[k : k + n] for k in range(max(1, len(x) - n + 1))})
+        want = {}
+        for i, a in enumerate(sets):
+            for j in range(i + 1, len(sets)):
+                score = len(a & sets[j]) / len(a | sets[j])
+                if score >= threshold:
+                    want[i, j] = score
+        rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+        got = {(r.left_id, r.right_id): r.score for r in similarity.candidates(rows, "id", "text", n, threshold).collect()}
+        assert got == want and want
+
+
 def test_wilson(spark):
     row = spark.range(1).select(*(c.alias(n) for n, c in evaluation.wilson(F.lit(5), F.lit(10)).items())).first()
     assert (round(row.wilson_low, 6), round(row.wilson_high, 6)) == (0.236593, 0.763407)
@@ -75,5 +106,5 @@ def test_abbreviations_of_every_text(spark, tmp_path):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     want = {i: ",".join(sorted(set(re.findall(r"\b[A-Z][A-Z0-9]{1,9}\b", t or "")))) for i, t in enumerate(texts)}
-    got = reference.QUERIES["security_abbreviations_all"](spark, str(tmp_path)).collect()
+    got = reference.QUERIES["security_abbreviations"](spark, str(tmp_path)).collect()
     assert len(got) == len(texts) and {r.doc_id: r.abbreviations for r in got} == want
