@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions.jcs import json_string, obj
 from ..operators import release
+from ..operators.common import shared_folder
 from ..sources.publish import publish_shards
 from .reference import ORACLES, QUERIES, query, table
 
@@ -21,10 +22,10 @@ __all__ = ["ORACLES", "QUERIES"]
            CAST(strlen(body) AS BIGINT) AS size, row_count FROM s""")
 def published_shards(spark, sf_dir):
     """Documents' ids and sources as JSONL shards of 300 rows; the manifest's list."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='marlstone-publish-')}"
+    folder = shared_folder(spark)
     line = obj(doc_id=F.col("doc_id").cast("string"), source=json_string(F.col("source")))
     rows = table(spark, sf_dir, "documents").select("doc_id", line.alias("line"))
-    manifest = publish_shards(rows, f"{folder.rstrip('/')}/published", "documents", "document-0.1.0", "publish", ["doc_id"], shard_rows=300)
+    manifest = publish_shards(rows, f"{folder}/published-{uuid.uuid4().hex}", "documents", "document-0.1.0", "publish", ["doc_id"], shard_rows=300)
     listed = [(a["logical_name"], a["sha256"], a["size"], a["row_count"]) for a in manifest["artifacts"]]
     return spark.createDataFrame(listed, "logical_name string, sha256 string, size long, row_count long")
 
