@@ -73,13 +73,19 @@ def leaves(document: object, empties: bool = True) -> Iterator[tuple[str, object
 
 
 def leaf_rows(text: Column, empties: bool = True) -> Column:
-    """Array of (pointer, canonical JSON of the value) of a column of JSON texts."""
+    """Array of (pointer, canonical JSON of the value) of a column of JSON texts.
 
-    def of(text: str | None) -> list[tuple[str, str]]:
+    Null stays null; text that is no JSON, or is nested beyond what can be read, is one row
+    without a value whose pointer is its code.
+    """
+
+    def of(text: str | None) -> list[tuple[str, str | None]] | None:
+        if text is None:
+            return None
         try:
             return [(p, canonical(v)) for p, v in leaves(json.loads(text), empties)]
-        except (TypeError, ValueError):
-            return []
+        except (ValueError, RecursionError):
+            return [("PARSE_INVALID_JSON", None)]
 
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(of)

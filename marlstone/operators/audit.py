@@ -62,6 +62,28 @@ def behavior_conflicts(found: DataFrame) -> DataFrame:
     )
 
 
+#: What of a written audit names members.
+_AUDIT = (
+    "audit_id string, duplicate_groups array<struct<owner_episode_id:string,alias_episode_ids:array<string>>>, "
+    "conflict_candidates array<struct<conflict_id:string,left_member_episode_ids:array<string>,right_member_episode_ids:array<string>>>"
+)
+
+
+def audit_members(audits: DataFrame, text: str = "value") -> DataFrame:
+    """(audit_id, kind, group_id, episode_id) of audits as JSON: kind is conflict, alias or unreadable (with nulls)."""
+    read = audits.select(F.from_json(text, _AUDIT).alias("a")).select("a.*")
+    whole = F.col("audit_id").isNotNull() & F.col("duplicate_groups").isNotNull() & F.col("conflict_candidates").isNotNull()
+    good = read.where(whole)
+    clash = good.select("audit_id", F.explode("conflict_candidates").alias("c"))
+    clash = clash.select("audit_id", F.lit("conflict").alias("kind"), F.col("c.conflict_id").alias("group_id"),
+                         F.explode(F.concat("c.left_member_episode_ids", "c.right_member_episode_ids")).alias("episode_id"))
+    alias = good.select("audit_id", F.explode("duplicate_groups").alias("g"))
+    alias = alias.select("audit_id", F.lit("alias").alias("kind"), F.col("g.owner_episode_id").alias("group_id"), F.explode("g.alias_episode_ids").alias("episode_id"))
+    none = F.lit(None).cast("string")
+    bad = read.where(~F.coalesce(whole, F.lit(False))).select("audit_id", F.lit("unreadable").alias("kind"), none.alias("group_id"), none.alias("episode_id"))
+    return clash.unionByName(alias).unionByName(bad)
+
+
 def identities(rows: DataFrame, kinds: list[str], member: str) -> DataFrame:
     """Distinct (identity_type, identity_value, member); nulls are left out."""
     return rows.unpivot([member], kinds, "identity_type", "identity_value").where("identity_value is not null").distinct()

@@ -66,6 +66,17 @@ def grounding(expected: DataFrame, evidence: DataFrame, contexts: DataFrame) ->
     return rows.select(*ARGUMENT, F.when(allowed, claimed).otherwise("unknown").alias("origin"), status.alias("status"))
 
 
+def diagnostics(grounded: DataFrame) -> DataFrame:
+    """A row (episode, code, json_pointer, message) for each argument that is not supported."""
+    wrong = grounded.where("status <> 'supported'")
+    return wrong.select(
+        "episode",
+        F.lit("SOURCE_ARG_NOT_GROUNDED").alias("code"),
+        F.col("argument_pointer").alias("json_pointer"),
+        F.concat(F.lit("call "), "call_id", F.lit(": "), "status", F.lit(" by "), "origin").alias("message"),
+    )
+
+
 def outcomes(grounded: DataFrame) -> DataFrame:
     """One result for each episode: a failure outweighs a review, a review a pass."""
     failed = F.bool_or(F.col("status") == "unsupported")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,8 @@ def _rename(source: str, target: str) -> None:
 
     store, old = fs.FileSystem.from_uri(source)
     _, new = fs.FileSystem.from_uri(target)
+    if store.get_file_info(old).type == fs.FileType.NotFound and store.get_file_info(new).type != fs.FileType.NotFound:
+        return  # an attempt before this one did it
     if store.get_file_info(new).type == fs.FileType.NotFound:
         store.move(old, new)
         return
@@ -102,11 +105,21 @@ def publish_shards(
     for shard in found:
         logical = f"{name}-{shard['shard']:05d}"
         path = f"{logical}-{shard['sha256'].removeprefix('sha256:')}.jsonl"
-        _rename(f"{pending}/{shard['shard']:05d}", f"{root}/{path}")
         artifacts.append({
             "logical_name": logical, "relative_path": path, "schema_version": schema_version,
             **{key: shard[key] for key in ("sha256", "size", "row_count")},
         })
+    moves = [(f"{pending}/{shard['shard']:05d}", f"{root}/{a['relative_path']}") for shard, a in zip(found, artifacts, strict=True)]
+
+    def name_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for old, new in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _rename(old, new)
+            yield batch.select(["new"])
+
+    # the shards get their names in tasks; what a task that is repeated finds named already is kept
+    listed = rows.sparkSession.createDataFrame(moves, "old string, new string").repartition(min(len(moves), 200))
+    listed.mapInArrow(name_all, "new string").count()
     accepted = sum(a["row_count"] for a in artifacts)
     body = {
         "schema_version": "content-manifest-0.1.0",

@@ -185,3 +185,27 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["source", "validate", "--snapshot", snapshot]) == 1
     assert cli.main(["source", "validate", "--snapshot", str(tmp_path / "none")]) == 2 and cli.main(["no such"]) == 2
     assert cli.main(["status", f"a={tmp_path}/none"]) == 0
+
+
+def test_event_log(spark, tmp_path):
+    from datetime import UTC, datetime
+
+    from marlstone.operators import ledger, review
+    from marlstone.sources import log
+
+    root, moment = str(tmp_path / "log"), datetime(2024, 1, 2, 3, 4, 5, 60, tzinfo=UTC)
+    decision = {"conflict_id": "c", "left_episode_id": "a", "right_episode_id": "b", "decision": "defer", "reviewer_authority": "human", "rationale": "r"}
+    first = log.adjudicate(root, "run", decision, review.DECISIONS)
+    with pytest.raises(log.LogError, match="supersedes"):
+        log.adjudicate(root, "run", decision, review.DECISIONS)
+    with pytest.raises(log.LogError, match="person"):
+        log.adjudicate(root, "run", decision | {"supersedes_event_id": first["event_id"], "reviewer_authority": "model"}, review.DECISIONS)
+    log.adjudicate(root, "run", decision | {"supersedes_event_id": first["event_id"]}, review.DECISIONS)
+    assert log.append(root, "run", "s", "t", {}, moment=moment)["timestamp_utc"] == "2024-01-02T03:04:05.000060Z"
+    rows = log.table(spark, root).withColumn("log", F.lit("l"))
+    checked = ledger.verify_chain(rows, "log", "sequence", "event_hash", "previous_event_hash").collect()
+    assert len(checked) == 3 and all(r.sequence_ok and r.link_ok for r in checked)
+    path = next((tmp_path / "log").glob("000000000002-*.jsonl"))
+    path.write_text(path.read_text().replace("defer", "source_error"))
+    with pytest.raises(log.LogError, match="not the event"):
+        log.read(root)
