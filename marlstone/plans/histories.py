@@ -82,13 +82,14 @@ def call_fingerprints(spark, sf_dir):
 
 
 @query(_PRINTS + """,
-    d AS (SELECT DISTINCT context_fp, behavior_fp, calls_fp FROM x)
+    d AS (SELECT context_fp, behavior_fp, calls_fp, bool_and(CAST(episode_id AS BIGINT) % 50 > 0) AS unknown FROM x GROUP BY ALL)
     SELECT 'conf_' || sha256('{"ordered_behavior_fingerprints":["' || l.behavior_fp || '","' || r.behavior_fp || '"],"presented_context_fingerprint":"' || l.context_fp || '"}') AS conflict_id,
-           l.calls_fp = r.calls_fp AS call_multiset_same, CASE WHEN l.calls_fp = r.calls_fp THEN 'order_ambiguity_review' ELSE 'hard_conflict' END AS kind
+           l.calls_fp = r.calls_fp AS call_multiset_same, CASE WHEN l.calls_fp = r.calls_fp AND l.unknown AND r.unknown THEN 'order_ambiguity_review' ELSE 'hard_conflict' END AS kind
     FROM d l JOIN d r ON l.context_fp = r.context_fp AND l.behavior_fp < r.behavior_fp""")
 def call_conflicts(spark, sf_dir):
-    """Both kinds of conflict: other calls, and the same calls in another order."""
-    found = _fingerprinted(spark, sf_dir).select("*", F.lit("unknown").alias("topology"), F.col("episode_id").alias("member"))
+    """Both kinds of conflict: other calls, and the same calls in another order where nothing says which order was meant."""
+    topology = F.when(F.col("episode_id").cast("long") % 50 == 0, "sequential").otherwise("unknown")
+    found = _fingerprinted(spark, sf_dir).select("*", topology.alias("topology"), F.col("episode_id").alias("member"))
     return audit.behavior_conflicts(found).select("conflict_id", "call_multiset_same", "kind")
 
 

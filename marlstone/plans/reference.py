@@ -446,18 +446,18 @@ def terminology_risks(spark, sf_dir):
 
 
 @query("""
-    WITH h AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seq,
+    WITH h AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) + CAST(event_id >= 5000 AS INT) AS seq,
                       sha256(event_id || '/' || event_type) AS event_hash FROM events),
     c AS (SELECT *, CASE WHEN event_id % 7 = 0 THEN 'tampered' ELSE lag(event_hash) OVER (PARTITION BY user_id ORDER BY seq) END AS previous FROM h)
-    SELECT user_id, seq, true AS sequence_ok,
+    SELECT user_id, seq, event_id < 5000 AS sequence_ok,
            previous IS NOT DISTINCT FROM lag(event_hash) OVER (PARTITION BY user_id ORDER BY seq) AS link_ok FROM c""")
 def event_chain_verify(spark, sf_dir):
-    """Each user's events as a chain, in which every seventh event names a wrong predecessor."""
+    """Each user's events as a chain that leaves out a number, and in which every seventh event names a wrong predecessor."""
     from pyspark.sql import Window
 
     order = Window.partitionBy("user_id").orderBy("event_id")
     log = table(spark, sf_dir, "events").select(
-        "user_id", "event_id", F.row_number().over(order).cast("long").alias("seq"),
+        "user_id", "event_id", (F.row_number().over(order) + (F.col("event_id") >= 5000).cast("int")).cast("long").alias("seq"),
         F.sha2(F.concat_ws("/", F.col("event_id").cast("string"), "event_type"), 256).alias("event_hash"),
     )
     log = log.withColumn("previous", F.when(F.col("event_id") % 7 == 0, "tampered").otherwise(F.lag("event_hash").over(order)))
@@ -471,16 +471,18 @@ def latest_adjudication(spark, sf_dir):
 
 
 @query("""
-    SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'pending_human_review' WHEN l.toxic = 1 AND l.quality = 1 THEN 'error'
+    SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'pending_human_review' WHEN d.doc_id % 13 = 0 THEN 'error' WHEN d.doc_id % 17 = 0 AND coalesce(l.toxic, 0) = 0 THEN 'error'
+                          WHEN l.toxic = 1 AND l.quality = 1 AND d.doc_id % 17 > 0 THEN 'error'
                           WHEN l.quality = 1 THEN 'human_accepted' ELSE 'human_rejected' END AS state
     FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def gold_acceptance(spark, sf_dir):
-    """A toxic label as a finding that the reviewer did not list."""
+    """A toxic label as a finding; some reviews are of another verdict, some list the finding whether it is there or not."""
     rows = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     none = F.array().cast("array<string>")
     findings = F.when(F.col("toxic") == 1, F.array(F.lit("toxic"))).otherwise(none)
     decision = F.when(F.col("quality") == 1, "accept").when(F.col("quality") == 0, "reject")
-    return rows.select("doc_id", ledger.gold_state(decision, F.lit("v"), F.lit("v"), findings, none).alias("state"))
+    reviewed = F.when(F.col("doc_id") % 17 == 0, F.array(F.lit("toxic"))).otherwise(none)
+    return rows.select("doc_id", ledger.gold_state(decision, F.when(F.col("doc_id") % 13 == 0, "w").otherwise("v"), F.lit("v"), findings, reviewed).alias("state"))
 
 
 _PRICES = ", ".join(f"('{m}', {a}::DECIMAL(12,6), {b}::DECIMAL(12,6), {c}::DECIMAL(12,6))" for m, a, b, c in evaluation.PRICES)
