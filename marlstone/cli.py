@@ -176,6 +176,12 @@ def export(a: argparse.Namespace) -> None:
     _say(publish.publish_shards(lines, a.out, "conversations", "conversation-0.1.0", "export", [a.by]))
 
 
+def schema_export(a: argparse.Namespace) -> None:
+    from .sources import publish
+
+    _say(publish.schema_of(_spark().read.parquet(a.input), a.title))
+
+
 def query(a: argparse.Namespace) -> None:
     import importlib
 
@@ -223,6 +229,7 @@ def parser() -> argparse.ArgumentParser:
     command("release build", release_build, "root", "files", "members", "out")
     command("release validate", release_validate, "root", "manifest")
     command("export conversations", export, "input", "out", by="conv_id")
+    command("schema export", schema_export, "input", title="row")
     command("query", query, "name", "tables", out=None, limit=20)
     status = groups.add_parser("status")
     status.add_argument("stage", nargs="+", help="name=folder")

@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from ..functions.jcs import arr, id_of, json_string, obj
 
 
+def stats(tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
+    """(kind, name, n_rows): rows of each table by a column, or of the whole table where none is named."""
+    out = None
+    for kind, (rows, column) in tables.items():
+        counted = rows.groupBy(F.col(column).cast("string").alias("name")) if column else rows.groupBy(F.lit(kind).alias("name"))
+        label = kind if column else "all"
+        part = counted.agg(F.count("*").alias("n_rows")).select(F.lit(label).alias("kind"), "name", "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def duplicate_members(rows: DataFrame, keys: list[str], member: str) -> DataFrame:
     """A row for each member of a group of two or more: its keys, owner (the least) and the group's size.
 

@@ -40,6 +40,37 @@ def coverage(requested: DataFrame, verdicts: DataFrame, unit: str, by: list[str]
     return sums.withColumns(wilson(F.col("covered"), F.col("requested")))
 
 
+def outcome_counts(verdicts: DataFrame, conclusion: str, by: list[str]) -> DataFrame:
+    """n_pass, n_review, n_fail and n_all by ``by``; another conclusion counts in n_all only."""
+    named = {"n_pass": "pass", "n_review": "needs_human_review", "n_fail": "fail"}
+    return verdicts.groupBy(*by).agg(*(F.count_if(F.col(conclusion) == value).alias(name) for name, value in named.items()), F.count("*").alias("n_all"))
+
+
+def report(requested: DataFrame, verdicts: DataFrame, unit: str = "unit_id") -> DataFrame:
+    """One row: requested and covered units with their interval, outcomes, and faults of the input (units twice or never asked for).
+
+    verdicts: the unit, verdict_id, conclusion.  Nothing in a report releases anything.
+    """
+    asked = requested.select(unit).withColumn("_asked", F.lit(1))
+    units = asked.groupBy(unit).agg(F.count("*").alias("n_asked"))
+    given = verdicts.groupBy(unit).agg(
+        F.count("*").alias("n_given"),
+        F.count_if(F.col("conclusion") == "pass").alias("p"),
+        F.count_if(F.col("conclusion") == "needs_human_review").alias("r"),
+        F.count_if(F.col("conclusion") == "fail").alias("f"),
+    )
+    both = units.join(given, unit, "full")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    sums = both.agg(
+        F.count_if(n("n_asked") > 0).alias("requested"),
+        F.count_if((n("n_asked") > 0) & (n("n_given") > 0)).alias("covered"),
+        *(F.coalesce(F.sum(n(c)), F.lit(0)).alias(name) for c, name in (("p", "n_pass"), ("r", "n_review"), ("f", "n_fail"))),
+        F.count_if((n("n_asked") > 1) | (n("n_given") > 1)).alias("n_twice"),
+        F.count_if(n("n_asked") == 0).alias("n_not_asked"),
+    )
+    return sums.withColumns(wilson(F.col("covered"), F.col("requested"))).withColumn("release_allowed", F.lit(False))
+
+
 def two_judges(mini: Column, strong: Column) -> Column:
     """Both must pass."""
     return F.when((mini == "pass") & (strong == "pass"), "consensus_pass").otherwise("needs_review")

@@ -8,8 +8,12 @@ Defined results: null or unreadable JSON gives no usage; a null status matches n
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.jcs import id_of, json_string, obj
 
@@ -147,6 +151,29 @@ def recorded(requests: DataFrame, responses: DataFrame) -> DataFrame:
     return joined.withColumn("fault", fault).drop("n")
 
 
+def answered(requests: DataFrame, translate: Callable[[str], str], column: str = "request") -> DataFrame:
+    """``requests`` with answer and failure of a caller's own ``translate``, called once for each row in the executors.
+
+    What it raises is a failure of its row by the exception's name; texts never go into it.
+    """
+    fields = [f.name for f in requests.schema.fields]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            answers, failures = [], []
+            for request in part[column]:
+                try:
+                    answers.append(translate(request))
+                    failures.append(None)
+                except Exception as error:  # noqa: BLE001  a caller's code may raise anything; the row says what
+                    answers.append(None)
+                    failures.append(type(error).__name__)
+            yield part.assign(answer=answers, failure=failures)[[*fields, "answer", "failure"]]
+
+    schema = T.StructType([*requests.schema.fields, T.StructField("answer", T.StringType()), T.StructField("failure", T.StringType())])
+    return requests.mapInPandas(run, schema)
+
+
 def pending(jobs: DataFrame, done: DataFrame, claims: DataFrame, key: str) -> DataFrame:
     """``jobs`` with state: done, manual_recovery (claimed without a result: it may have been sent) or to_send."""
     seen = lambda rows, name: rows.select(key).distinct().withColumn(name, F.lit(True))

@@ -7,11 +7,17 @@ exclusive.  Every check is a column; an episode with a fault gets no labels.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .ledger import loss_labels
 
+_RANGES = T.ArrayType(T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType()))
 CHARACTERS, TOKENS = 1_000_000, 100_000
 
 
@@ -29,6 +35,31 @@ def token_range(offsets: Column, start: Column, end: Column) -> Column:
     return F.when((first > 0) & (last >= first), F.struct((first - 1).alias("start"), last.alias("end")))
 
 
+def rendered(episodes: DataFrame, render: Callable[[dict], dict], encode: Callable[[str], list[tuple[int, int, int]]], column: str = "episode") -> DataFrame:
+    """``episodes`` (JSON in ``column``) with what a caller's renderer and tokenizer give, as :func:`contract_faults` takes it.
+
+    ``render`` gives text, structure, truncated and ranges [(start, end)]; ``encode`` gives (id, start, end) of a text's tokens.
+    """
+    made = [
+        T.StructField("text", T.StringType()), T.StructField("structure", T.StringType()), T.StructField("truncated", T.BooleanType()),
+        T.StructField("ranges", _RANGES), T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("offsets", _RANGES),
+    ]
+    names = [f.name for f in (*episodes.schema.fields, *made)]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = []
+            for episode in part[column]:
+                out = render(json.loads(episode))
+                tokens = encode(out["text"])
+                ranges = lambda spans: [{"start": a, "end": b} for a, b in spans]
+                rows.append((out["text"], out["structure"], out["truncated"], ranges(out["ranges"]), [t[0] for t in tokens], ranges(t[1:] for t in tokens)))
+            more = pd.DataFrame(rows, columns=[f.name for f in made], index=part.index)
+            yield pd.concat([part, more], axis=1)[names]
+
+    return episodes.mapInPandas(run, T.StructType([*episodes.schema.fields, *made]))
+
+
 def contract_faults(rendered: DataFrame, max_characters: int = CHARACTERS, max_tokens: int = TOKENS) -> DataFrame:
     """``rendered`` with its first fault, null for none.
 

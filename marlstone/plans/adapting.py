@@ -125,3 +125,23 @@ def argument_safety(spark, sf_dir):
     policy = tools.FieldPolicy("p", arguments={("f", "/n"): tools.TRANSLATE, ("*", "/*"): tools.COPY})
     made = table(spark, sf_dir, "events").select("event_id", tools.leaf_segments(episode, policy).alias("s"))
     return made.select("event_id", "s.code", F.when(F.col("s.code").isNull(), F.size("s.segments")).alias("n_segments"))
+
+
+@query("""
+    SELECT event_id, CASE event_type WHEN 'error' THEN '/conversation/0/role' WHEN 'view' THEN '/' WHEN 'signup' THEN '/tools/0/tool_id' END AS pointer FROM events""")
+def preserved_fields(spark, sf_dir):
+    """Episodes against their merged forms, in which a role, the shape or a tool's id changed, or only what may."""
+    kind = F.col("event_type")
+
+    def episode(content, role, tool_id, doc, more):
+        turn = obj(content=json_string(content), role=json_string(role))
+        tool = obj(documentation_hash=json_string(doc), tool_id=json_string(tool_id))
+        return obj(conversation=F.concat(F.lit("["), turn, more, F.lit("]")), tools=arr(F.array(tool)), variant_id=json_string(doc))
+
+    props, none = F.col("props"), F.lit("")
+    before = episode(props, F.lit("user"), F.lit("t"), F.lit("a"), none)
+    after = episode(
+        F.concat(F.lit("T "), props), F.when(kind == "error", "system").otherwise("user"), F.when(kind == "signup", "u").otherwise("t"), F.lit("b"),
+        F.when(kind == "view", ",{}").otherwise(none),
+    )
+    return table(spark, sf_dir, "events").select("event_id", tools.preserved(before, after, F.array(F.lit("/conversation/0/content"))).alias("pointer"))

@@ -44,11 +44,7 @@ def js(x: str) -> str:
     UNION ALL SELECT 'all', 'documents', count(*) FROM documents""")
 def artifact_stats(spark, sf_dir):
     turns, docs = table(spark, sf_dir, "conversations"), table(spark, sf_dir, "documents")
-    count = F.count("*").alias("n_rows")
-    roles = turns.groupBy(F.lit("role").alias("kind"), F.col("role").alias("name")).agg(count)
-    sources = docs.groupBy(F.lit("source").alias("kind"), F.col("source").alias("name")).agg(count)
-    total = docs.agg(count).select(F.lit("all").alias("kind"), F.lit("documents").alias("name"), "n_rows")
-    return roles.unionByName(sources).unionByName(total)
+    return audit.stats({"role": (turns, "role"), "source": (docs, "source"), "documents": (docs, None)})
 
 
 @query("""
@@ -305,9 +301,23 @@ def review_package_all_leaves(spark, sf_dir):
     SELECT lang, count(*) FILTER (WHERE mini = 'pass') AS n_pass, count(*) FILTER (WHERE mini = 'fail') AS n_fail, count(*) AS n_all
     FROM j GROUP BY lang""")
 def outcome_counts(spark, sf_dir):
-    return _judged(spark, sf_dir).groupBy("lang").agg(
-        F.count_if(F.col("mini") == "pass").alias("n_pass"), F.count_if(F.col("mini") == "fail").alias("n_fail"), F.count("*").alias("n_all")
-    )
+    return evaluation.outcome_counts(_judged(spark, sf_dir), "mini", ["lang"]).drop("n_review")
+
+
+@query(f"""
+    WITH v AS (SELECT doc_id FROM labels UNION ALL SELECT doc_id FROM labels WHERE toxic = 1 UNION ALL SELECT -1),
+    t AS (SELECT (SELECT count(*) FROM documents) AS requested, (SELECT count(*) FROM labels) AS covered,
+                 (SELECT count(*) FROM labels WHERE quality = 1) + (SELECT count(*) FROM labels WHERE toxic = 1 AND quality = 1) AS n_pass,
+                 (SELECT count(*) FROM labels WHERE quality = 0) + (SELECT count(*) FROM labels WHERE toxic = 1 AND quality = 0) AS n_fail,
+                 (SELECT count(*) FROM labels WHERE toxic = 1) AS n_twice)
+    SELECT requested, covered, n_pass, 1 AS n_review, n_fail, n_twice, 1 AS n_not_asked, round(covered / requested, 9) AS proportion, false AS release_allowed FROM t""")
+def evaluation_report(spark, sf_dir):
+    """Labels as verdicts of documents, toxic ones given twice, and one of a unit that nobody asked for."""
+    labels = table(spark, sf_dir, "labels")
+    given = labels.unionByName(labels.where("toxic = 1")).select(F.col("doc_id").alias("unit_id"), F.when(F.col("quality") == 1, "pass").otherwise("fail").alias("conclusion"))
+    stray = spark.createDataFrame([(-1, "needs_human_review")], "unit_id long, conclusion string")
+    made = evaluation.report(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("unit_id")), given.unionByName(stray))
+    return made.withColumn("proportion", F.round("proportion", 9)).drop("wilson_low", "wilson_high")
 
 
 @query(f"""

@@ -58,12 +58,23 @@ ADAPTERS: dict[str, Callable[[dict], dict]] = {
 }
 
 
+def register(name: str, adapter: Callable[[dict], dict]) -> None:
+    """Make an adapter of one's own known: it takes a record and gives a row of FIELDS or raises AdapterError."""
+    if name in ADAPTERS:
+        raise ValueError(f"{name} is known already")
+    ADAPTERS[name] = adapter
+
+
 def adapt_text(text: str | None, name: str) -> dict:
+    return _row_of(text, ADAPTERS[name])
+
+
+def _row_of(text: str | None, adapter: Callable[[dict], dict]) -> dict:
     row = dict.fromkeys(FIELDS)
     try:
         record = json.loads(text) if text is not None else None
         demand(isinstance(record, dict), "", "not an object", "SCHEMA_EXPECTED_OBJECT")
-        return row | ADAPTERS[name](record)
+        return row | adapter(record)
     except AdapterError as error:
         return row | error.row
     except CanonicalError as error:
@@ -76,7 +87,9 @@ def adapt(record: Column, name: str) -> Column:
     if name not in ADAPTERS:
         raise ValueError(f"unknown adapter {name!r}; known: {', '.join(ADAPTERS)}")
 
+    adapter = ADAPTERS[name]  # sent along: the workers do not know what was registered
+
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([adapt_text(text, name) for text in texts], columns=FIELDS)
+        return pd.DataFrame([_row_of(text, adapter) for text in texts], columns=FIELDS)
 
     return F.pandas_udf(run, SCHEMA)(record)

@@ -209,3 +209,37 @@ def test_event_log(spark, tmp_path):
     path.write_text(path.read_text().replace("defer", "source_error"))
     with pytest.raises(log.LogError, match="not the event"):
         log.read(root)
+
+
+def test_extension_points(spark):
+    from marlstone.operators import provider, render
+    from marlstone.sources import adapter_base, adapters
+
+    def own(record):
+        adapter_base.demand("q" in record, "/q", "no question")
+        return adapter_base.two_turns({"id": record["n"]}, record["q"], {"content": "a"}, [], "direct_answer", ("q",))
+
+    adapters.register("own", own)
+    try:
+        with pytest.raises(ValueError, match="already"):
+            adapters.register("own", own)
+        rows = spark.createDataFrame([('{"n":1,"q":"x"}',), ('{"n":2}',)], "j string").select(adapters.adapt(F.col("j"), "own").alias("a")).select("a.*").collect()
+        assert [(r.source_conversation_id, r.pointer) for r in rows] == [("1", None), (None, "/q")]
+    finally:
+        del adapters.ADAPTERS["own"]
+
+    def translate(text):
+        if text == "bad":
+            raise TimeoutError("secret")
+        return text.upper()
+
+    asked = spark.createDataFrame([(1, "ok"), (2, "bad")], "n int, request string")
+    assert [tuple(r) for r in provider.answered(asked, translate).orderBy("n").collect()] == [(1, "ok", "OK", None), (2, "bad", None, "TimeoutError")]
+
+    def renderer(episode):
+        return {"text": f"[{episode['t']}]", "structure": "s", "truncated": False, "ranges": [(1, 1 + len(episode["t"]))]}
+
+    episodes = spark.createDataFrame([('{"t":"abc"}', "abc", "s"), ('{"t":"x"}', "y", "s")], "episode string, payload string, expected_structure string")
+    made = render.rendered(episodes, renderer, lambda text: [(ord(c), i, i + 1) for i, c in enumerate(text)])
+    found = {r.episode: (r.fault, r.labels) for r in render.supervised(made).collect()}
+    assert found == {'{"t":"abc"}': (None, [-100, 97, 98, 99, -100]), '{"t":"x"}': ("payload_differs", None)}
