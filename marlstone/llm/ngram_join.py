@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, Tidy, cut, hinted, small_batches
+from .common import BROADCAST_BYTES, Tidy, cut, drop, hinted, small_batches
 from .graph import components
 
 WORDS = 5
@@ -283,7 +283,7 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _check_pairs(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts link."""
+    """The (a, b) of ``pairs`` whose texts link, as a table."""
     ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     texts = cut(_texts_of(docs, ids), "texts")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))
@@ -300,7 +300,10 @@ def _check_pairs(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return joined.mapInArrow(run, "a long, b long")
+    links = cut(joined.mapInArrow(run, "a long, b long"), "links")
+    drop(ids)
+    drop(texts)
+    return links
 
 
 def _rest_pairs(tiles: DataFrame, found: DataFrame, signed: DataFrame) -> DataFrame:
@@ -413,9 +416,11 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
 
         tiles = cut(_tiles(_postings(reps, sketch, words)), "tiles")
         pairs = cut(_stars(tiles), "pairs")
-        links = cut(_check_pairs(pairs, reps, words), "links")
+        links = _check_pairs(pairs, reps, words)
         found = cut(components(links), "components")
         rest = cut(_rest_pairs(tiles, found, signed).join(pairs, ["a", "b"], "left_anti"), "rest")
+        drop(tiles)
+        drop(pairs)
         if not rest.isEmpty():
             links = cut(links.union(_check_pairs(rest, reps, words)), "links")
         if rest.isEmpty() and copies.isEmpty():
