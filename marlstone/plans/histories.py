@@ -167,15 +167,15 @@ def automation_cohort(spark, sf_dir):
 @query("""
     WITH q AS (SELECT doc_id, row_number() OVER (ORDER BY sha256(CAST(doc_id AS VARCHAR))) AS reserve_rank FROM documents)
     SELECT row_number() OVER (ORDER BY reserve_rank) AS rank, reserve_rank, doc_id FROM q JOIN labels USING (doc_id) WHERE quality = 1 AND toxic = 0
-    QUALIFY rank <= 100""")
+    QUALIFY rank <= 50""")
 def frozen_selection(spark, sf_dir):
-    """The first hundred of a ranked queue that no reason excludes: unlabelled, junk and toxic documents are out."""
+    """The first fifty of a ranked queue that no reason excludes: unlabelled, junk and toxic documents are out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     queue = selection.ordered_rank(docs.select("doc_id", F.sha2(F.col("doc_id").cast("string"), 256).alias("k")), ["k"], "rank").join(labels, "doc_id", "left")
     reasons = selection.exclusion_reasons(
         F.when(F.col("quality") == 1, "source_valid").otherwise("source_invalid"), F.col("quality").isNotNull(), F.coalesce(F.col("toxic") == 1, F.lit(False)), F.array(F.lit("explicit_user"))
     )
-    return selection.frozen(queue.withColumn("reasons", reasons), "doc_id", 100).select("rank", "reserve_rank", "doc_id")
+    return selection.frozen(queue.withColumn("reasons", reasons), "doc_id", 50).select("rank", "reserve_rank", "doc_id")
 
 
 @query("""

@@ -224,12 +224,12 @@ def research_requests(spark, sf_dir):
 
 
 @query("""
-    WITH t AS (SELECT conv_id, turn, text, length(text) AS n, conv_id % 6 AS k FROM conversations WHERE role = 'assistant')
-    SELECT conv_id, turn, CASE WHEN k = 1 THEN 'truncated' WHEN k = 2 THEN 'structure_changed' WHEN k = 3 THEN 'payload_differs' WHEN n > 400 THEN 'text_too_long'
-               WHEN k = 4 THEN 'offsets_do_not_cover' WHEN k = 5 THEN 'target_cuts_a_token' END AS fault,
-           CASE WHEN k = 0 AND n <= 400 THEN n END AS n_labels
-    FROM t""".replace("WHEN k = 2 THEN 'structure_changed' WHEN k = 3 THEN 'payload_differs' WHEN n > 400 THEN 'text_too_long'", "WHEN n + 2 > 400 THEN 'text_too_long' WHEN k = 2 THEN 'structure_changed' WHEN k = 3 THEN 'payload_differs'")
-    .replace("k = 0 AND n <= 400", "k = 0 AND n + 2 <= 400"))
+    WITH t AS (SELECT conv_id, turn, length(text) AS n, conv_id % 6 AS k FROM conversations WHERE role = 'assistant')
+    SELECT conv_id, turn,
+           CASE WHEN k = 1 THEN 'truncated' WHEN n + 2 > 400 THEN 'text_too_long' WHEN k = 2 THEN 'structure_changed' WHEN k = 3 THEN 'payload_differs'
+                WHEN k = 4 THEN 'offsets_do_not_cover' WHEN k = 5 THEN 'target_cuts_a_token' END AS fault,
+           CASE WHEN k = 0 AND n + 2 <= 400 THEN n END AS n_labels
+    FROM t""")
 def render_contract(spark, sf_dir):
     """Answers in brackets, a token for each character; the conversation's number breaks the contract."""
     kind, said = F.col("conv_id") % 6, F.col("text")
