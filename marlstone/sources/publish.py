@@ -113,13 +113,20 @@ def publish_shards(
 
     def name_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            faults = []
             for old, new in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _rename(old, new)
-            yield batch.select(["new"])
+                try:
+                    _rename(old, new)
+                    faults.append(None)
+                except PublishError as error:
+                    faults.append(str(error))
+            yield pa.RecordBatch.from_arrays([pa.array(faults, pa.string())], ["fault"])
 
     # the shards get their names in tasks; what a task that is repeated finds named already is kept
     listed = rows.sparkSession.createDataFrame(moves, "old string, new string").repartition(min(len(moves), 200))
-    listed.mapInArrow(name_all, "new string").count()
+    faults = listed.mapInArrow(name_all, "fault string").collect()  # one small row for each shard
+    if wrong := [r.fault for r in faults if r.fault]:
+        raise PublishError(wrong[0])
     accepted = sum(a["row_count"] for a in artifacts)
     body = {
         "schema_version": "content-manifest-0.1.0",
