@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe_codec,
+    concurrency,
     exact_dedup,
     ngram_join,
     packing,
@@ -100,6 +101,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return concurrency.peak_concurrency(*(table(spark, sf_dir, name) for name in ("sales", "sale_lines", "clients")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_training_order": op2_training_order,
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
+    "op11_concurrency": op11_concurrency,
 }
 
 ORACLES: dict[str, str] = {
@@ -126,4 +132,32 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size,
                doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM r""",
+    "op11_concurrency": r"""
+        WITH shipped AS (
+            SELECT sale_id, min(shipped_at) AS first FROM sale_lines WHERE shipped_at IS NOT NULL GROUP BY sale_id),
+        nations AS (SELECT client_id, min(nation_id) AS nation_id FROM clients GROUP BY client_id),
+        spans AS (
+            SELECT coalesce(n.nation_id, -1) AS nation_id,
+                   CAST(floor(epoch(s.sold_at) / 60) * 60 AS BIGINT) AS a,
+                   CAST(floor(epoch(h.first) / 60) * 60 AS BIGINT) + 604800 AS z,
+                   CAST(floor(100 * coalesce(s.total, 0) + 0.5) AS BIGINT) AS cents
+            FROM sales s LEFT JOIN shipped h ON h.sale_id = s.sale_id LEFT JOIN nations n ON n.client_id = s.client_id
+            WHERE s.sold_at IS NOT NULL),
+        taking AS (SELECT * FROM spans WHERE z IS NULL OR z > a),
+        both_ends AS (
+            SELECT nation_id, a AS moment, 1 AS n, cents FROM taking
+            UNION ALL SELECT nation_id, z, -1, -cents FROM taking WHERE z IS NOT NULL
+            UNION ALL SELECT -2, a, 1, cents FROM taking
+            UNION ALL SELECT -2, z, -1, -cents FROM taking WHERE z IS NOT NULL),
+        moves AS (
+            SELECT nation_id, moment, sum(n) AS n, sum(cents) AS cents FROM both_ends GROUP BY nation_id, moment
+            HAVING sum(n) <> 0 OR sum(cents) <> 0),
+        scan AS (
+            SELECT nation_id, moment, lead(moment) OVER w AS next_at, sum(n) OVER w AS n_open, sum(cents) OVER w AS open_cents
+            FROM moves WINDOW w AS (PARTITION BY nation_id ORDER BY moment))
+        SELECT CAST(nation_id AS INTEGER) AS nation_id, moment AS from_s, next_at AS to_s,
+               CAST(n_open AS BIGINT) AS n_open, CAST(open_cents AS BIGINT) AS open_cents,
+               CAST(max(n_open) OVER (PARTITION BY nation_id ORDER BY moment) AS BIGINT) AS high_open,
+               open_cents = max(open_cents) OVER (PARTITION BY nation_id) AS is_peak
+        FROM scan""",
 }
