@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     bpe_codec,
     concurrency,
     exact_dedup,
@@ -105,6 +106,10 @@ def op11_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concurrency.peak_concurrency(*(table(spark, sf_dir, name) for name in ("sales", "sale_lines", "clients")))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.linked_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_training_order": op2_training_order,
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
     "op11_concurrency": op11_concurrency,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {

@@ -99,9 +99,8 @@ def test_pipeline_by_its_stages(spark, hostile):
 
 
 def test_queries_do_not_change_the_session(spark):
-    assert queries.QUERIES.keys() == {f"op{n}_{x}" for n, x in enumerate(
-        ("bpe", "training_order", "importance_resampling", "exact_dedup", "token_counts", "quality_rules", "warc_derivatives", "pii", "ngram_join", "packing", "concurrency"), 1
-    )}
+    names = "bpe training_order importance_resampling exact_dedup token_counts quality_rules warc_derivatives pii ngram_join packing concurrency toxicity alignment"
+    assert queries.QUERIES.keys() == {f"op{n}_{x}" for n, x in enumerate(names.split(), 1)}
 
 
 # -- statistics by brute force -------------------------------------------------------
