@@ -32,8 +32,8 @@ import base64
 import functools
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +43,11 @@ from pyspark.sql import functions as F
 from .common import Tidy, cut
 
 #: Stretches that a worker keeps, and documents of an Arrow batch that it gives back.
-KEPT_STRETCHES = 200_000
+KEPT_STRETCHES = 400_000
 BATCH_DOCUMENTS = 256
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+_OTHER_WHITE = re.compile(r"[^\S \n]")
 _SPACE = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 _CHANGED = re.compile(r"[^▁]▁")
@@ -58,6 +59,13 @@ class _Misfit(Exception):
     """Tokens that do not give their text back."""
 
 
+def _stretches(text: str) -> list[str]:
+    """The parts of a text between single spaces that have no other white space beside them."""
+    if text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text or _OTHER_WHITE.search(text):
+        return _BETWEEN.split(text)
+    return text.split(" ")
+
+
 class Aligner(dict):
     """What is known of a stretch of text, by the stretch without its first space:
     (groups as text, pairs as packed longs, number of A tokens, number of B tokens)."""
@@ -68,6 +76,7 @@ class Aligner(dict):
         import tiktoken
 
         super().__init__()
+        self._older: dict = {}
         with open(byte_ranks, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes_a = {rank: token for token, rank in ranks.items()}
@@ -78,6 +87,8 @@ class Aligner(dict):
         if any(map(_CHANGED.search, pieces)):
             raise ValueError("a piece of this model goes on over a space")
         self.bytes_b = [bytes.fromhex(m[1]) if (m := _BYTE.match(piece)) else piece.replace(_SPACE, " ").encode() for piece in pieces]
+        self.size_a, self.size_b = ({i: len(t) for i, t in tokens} for tokens in (self.bytes_a.items(), enumerate(self.bytes_b)))
+        self.name_a, self.name_b = ({i: str(i) for i in sizes} for sizes in (self.size_a, self.size_b))
 
     @functools.cached_property
     def _library(self):
@@ -95,25 +106,30 @@ class Aligner(dict):
 
     def found(self, stretch: str) -> tuple[str, bytes, int, int]:
         a, b = self._encode_a(" " + stretch), self._b.encode(stretch)
-        tokens_a, tokens_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
         whole = b" " + stretch.encode()
-        if b"".join(tokens_a) != whole or b"".join(tokens_b) != whole:
+        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
             raise _Misfit
-        ends_a, ends_b = list(accumulate(map(len, tokens_a))), list(accumulate(map(len, tokens_b)))
-        place_a, place_b = {end: i for i, end in enumerate(ends_a)}, {end: i for i, end in enumerate(ends_b)}
-        groups, pairs, from_a, from_b = [], [], 0, 0
-        for end in ends_a:
-            if end in place_b:
-                i, j = place_a[end], place_b[end]
-                groups.append(",".join(map(str, a[from_a : i + 1])) + "|" + ",".join(map(str, b[from_b : j + 1])))
-                pairs.append(b[j] << 32 | a[i])
-                from_a, from_b = i + 1, j + 1
-        return ";".join(groups), np.array(pairs, "<i8").tobytes(), len(a), len(b)
+        size_a, size_b, name_a, name_b = self.size_a, self.size_b, self.name_a, self.name_b
+        groups, pairs, own_a, own_b, left = [], array("q"), "", "", iter(b)
+        ahead = 0  # bytes by which the A tokens taken so far go beyond the B tokens
+        for i in a:
+            own_a = f"{own_a},{name_a[i]}" if own_a else name_a[i]
+            ahead += size_a[i]
+            while ahead > 0:
+                j = next(left)
+                own_b = f"{own_b},{name_b[j]}" if own_b else name_b[j]
+                ahead -= size_b[j]
+            if not ahead:
+                groups.append(f"{own_a}|{own_b}")
+                pairs.append(j << 32 | i)
+                own_a = own_b = ""
+        return ";".join(groups), pairs.tobytes(), len(a), len(b)
 
     def __missing__(self, stretch: str) -> tuple[str, bytes, int, int]:
-        if len(self) >= KEPT_STRETCHES:
+        value = self._older.get(stretch) or self.found(stretch)
+        if len(self) >= KEPT_STRETCHES // 2:
+            self._older = dict(self)
             self.clear()
-        value = self.found(stretch)
         if len(stretch) < 64:
             self[stretch] = value
         return value
@@ -124,7 +140,7 @@ class Aligner(dict):
             return None
         try:
             try:
-                parts = [self[stretch] for stretch in _BETWEEN.split(text)]
+                parts = [self[stretch] for stretch in _stretches(text)]
             except _Misfit:
                 parts = [self.found(text)]
         except _Misfit:
