@@ -18,6 +18,7 @@ from . import (
     quality_rules,
     resampling,
     token_counts,
+    toxicity,
     training_order,
     warc,
 )
@@ -106,6 +107,10 @@ def op11_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concurrency.peak_concurrency(*(table(spark, sf_dir, name) for name in ("sales", "sale_lines", "clients")))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.linked_documents(table(spark, sf_dir, "documents"))
 
@@ -122,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
     "op11_concurrency": op11_concurrency,
+    "op12_toxicity": op12_toxicity,
     "op13_alignment": op13_alignment,
 }
 
