@@ -14,18 +14,17 @@ _LINES = """
     WITH l AS (SELECT l_orderkey AS o, l_returnflag AS f, l_linestatus AS s, l_partkey AS p, l_suppkey AS u,
                       row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS i,
                       count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
-    k AS (SELECT * FROM l WHERE n <= 3)"""
+    k AS (SELECT * FROM l)"""
 _CALLS = "array<struct<id:string,name:string,arguments:string>>"
 
 
 def _lines(spark, sf_dir) -> DataFrame:
-    """Lines of orders of at most three, numbered from 0."""
+    """The lines of each order, numbered from 0, with their count ``n``."""
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    rows = table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o"), F.col("l_returnflag").alias("f"), F.col("l_linestatus").alias("s"), F.col("l_partkey").alias("p"),
         F.col("l_suppkey").alias("u"), (F.row_number().over(order) - 1).alias("i"), F.count("*").over(Window.partitionBy("l_orderkey")).alias("n"),
     )
-    return rows.where("n <= 3")
 
 
 def _turn(position: int | Column, role: str, **fields: Column) -> list[Column]:
@@ -51,12 +50,12 @@ def _tools(episodes: DataFrame, prefix: str) -> DataFrame:
 
 
 def _fingerprinted(spark, sf_dir) -> DataFrame:
-    """Each order: a question of one of three kinds, and an answer that calls a tool for each line."""
+    """Each order: a question that sixteen orders share, and an answer that calls a tool for each line."""
     lines = _lines(spark, sf_dir)
     call = F.struct(
         F.concat(F.lit("c"), "i").alias("id"), F.concat(F.lit("flag_"), "f").alias("name"), F.concat(F.lit('{"status":"'), "s", F.lit('"}')).alias("arguments")
     )
-    asked = lines.select("o").distinct().select(*_turn(0, "user", content=F.concat(F.lit("kind "), (F.col("o") % 3).cast("string"))))
+    asked = lines.select("o").distinct().select(*_turn(0, "user", content=F.concat(F.lit("kind "), F.floor(F.col("o") / 16).cast("string"))))
     turns = asked.unionByName(_called(lines, call).select(*_turn(1, "assistant", calls=F.col("calls"))))
     return histories.fingerprints(turns, _tools(turns, "flag_"))
 
@@ -64,7 +63,7 @@ def _fingerprinted(spark, sf_dir) -> DataFrame:
 _PRINTS = _LINES + """,
     b AS (SELECT o, '{"arguments":{"status":"' || s || '"},"name":"flag_' || f || '"}' AS call, i FROM k),
     g AS (SELECT o, string_agg(call, ',' ORDER BY i) AS calls, string_agg(call, ',' ORDER BY call) AS multiset FROM b GROUP BY o),
-    c AS (SELECT o, calls, multiset, '{"conversation_prefix":[{"content":"kind ' || o % 3
+    c AS (SELECT o, calls, multiset, '{"conversation_prefix":[{"content":"kind ' || o // 16
                || '","images":null,"name":null,"reasoning_content":null,"role":"user","thinking":null,"tool_call_id":null,"tool_calls":null}],' AS head FROM g),
     x AS (
         SELECT CAST(o AS VARCHAR) AS episode_id, 'tool_call' AS action,
@@ -103,27 +102,27 @@ def duplicate_members(spark, sf_dir):
 @query(_LINES + """,
     c AS (SELECT o, i, CASE WHEN p % 13 = 0 THEN 'dup' ELSE 'c' || i END AS id, u % 11 = 0 AS unknown, p % 17 = 0 AS ghost FROM k),
     r AS (SELECT *, CASE WHEN ghost THEN 'ghost' ELSE id END AS call_id FROM c),
-    e AS (SELECT DISTINCT o FROM k),
+    e AS (SELECT DISTINCT o, n + 2 AS ending FROM k),
     f AS (
         SELECT o, 0 AS position, 'call_fields_on_prompt' AS fault FROM e WHERE o % 19 = 0
-        UNION ALL SELECT o, 10, 'empty_answer' FROM e WHERE o % 23 = 0
-        UNION ALL SELECT o, 10, 'text_target_without_text' FROM e WHERE o % 23 = 0
+        UNION ALL SELECT o, ending, 'empty_answer' FROM e WHERE o % 23 = 0
+        UNION ALL SELECT o, ending, 'text_target_without_text' FROM e WHERE o % 23 = 0
         UNION ALL (SELECT o, 1, 'call_id_repeated' FROM c QUALIFY row_number() OVER (PARTITION BY o, id ORDER BY i) > 1)
         UNION ALL SELECT o, 1, 'tool_name_unresolved' FROM c WHERE unknown
         UNION ALL (SELECT o, 2 + i, 'orphan_or_repeated_result' FROM r QUALIFY ghost OR row_number() OVER (PARTITION BY o, call_id ORDER BY i) > 1)
-        UNION ALL SELECT o, 10, 'open_calls_at_end' FROM (SELECT DISTINCT o FROM c WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.o = c.o AND r.call_id = c.id)))
+        UNION ALL SELECT o, ending, 'open_calls_at_end' FROM e JOIN (SELECT DISTINCT o FROM c WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.o = c.o AND r.call_id = c.id)) USING (o))
     SELECT CAST(o AS VARCHAR) AS episode_id, position, fault FROM f""")
 def history_faults(spark, sf_dir):
     """Orders as histories: a question, calls, results and an answer, broken by the numbers of orders, parts and suppliers."""
     lines = _lines(spark, sf_dir)
     own = F.when(F.col("p") % 13 == 0, "dup").otherwise(F.concat(F.lit("c"), "i"))
     name = F.when(F.col("u") % 11 == 0, "none").otherwise(F.concat(F.lit("f_"), "f"))
-    orders = lines.select("o").distinct()
+    orders = lines.select("o", "n").distinct()
     asked = orders.select(*_turn(0, "user", content=F.lit("q"), name=F.when(F.col("o") % 19 == 0, "x")))
     calls = _called(lines, F.struct(own.alias("id"), name.alias("name"), F.lit("{}").alias("arguments")))
     answered = F.when(F.col("p") % 17 == 0, "ghost").otherwise(own)
     results = lines.select(*_turn(F.col("i") + 2, "tool", content=F.lit("r"), call_id=answered))
-    ends = orders.select(*_turn(10, "assistant", content=F.when(F.col("o") % 23 != 0, "done")))
+    ends = orders.select(*_turn(F.col("n") + 2, "assistant", content=F.when(F.col("o") % 23 != 0, "done")))
     turns = asked.unionByName(calls.select(*_turn(1, "assistant", calls=F.col("calls")))).unionByName(results).unionByName(ends)
     return histories.history_faults(turns, _tools(turns, "f_"))
 
@@ -133,7 +132,7 @@ def history_faults(spark, sf_dir):
     SELECT episode_id FROM x WHERE CAST(episode_id AS BIGINT) % 5 <> 0 AND CAST(episode_id AS BIGINT) % 7 <> 0 AND CAST(episode_id AS BIGINT) % 3 <> 1
         AND episode_id NOT IN (SELECT episode_id FROM a)""")
 def candidate_eligibility(spark, sf_dir):
-    """Unreviewed orders of explicit evidence that are in no conflict (every third kind) and no even alias."""
+    """Unreviewed orders of explicit evidence that are in no conflict (every third number) and no even alias."""
     found, number = _fingerprinted(spark, sf_dir), F.col("episode_id").cast("long")
     episodes = found.select(
         "episode_id",

@@ -165,7 +165,7 @@ def leaf_claims(spark, sf_dir):
 
 
 _STATES = """
-    WITH l AS (SELECT l_orderkey AS o, count(DISTINCT l_linenumber) AS n, bool_or(l_returnflag = 'R' AND l_linenumber = 1) AS open FROM lineitem WHERE l_linenumber < 6 GROUP BY 1),
+    WITH l AS (SELECT l_orderkey AS o, count(DISTINCT l_linenumber) AS n, bool_or(l_returnflag = 'R' AND l_linenumber = 1) AS open FROM lineitem GROUP BY 1),
     e AS (SELECT o_orderkey AS o, o_orderkey % 4 AS want FROM (SELECT DISTINCT o_orderkey FROM orders)),
     s AS (SELECT e.o, CASE WHEN want = 0 THEN 'no_translatable_segments' WHEN coalesce(n, 0) < want THEN 'incomplete' WHEN open THEN 'research_needed' ELSE 'translated' END AS status,
                  coalesce(n, 0) AS n_leaves FROM e LEFT JOIN l USING (o))"""
@@ -173,7 +173,7 @@ _STATES = """
 
 def _states(spark, sf_dir):
     """Orders as episodes of up to three segments, their lines as finished leaves."""
-    lines = table(spark, sf_dir, "lineitem").where("l_linenumber < 6")
+    lines = table(spark, sf_dir, "lineitem")
     leaves = lines.select(
         F.col("l_orderkey").alias("episode_id"), F.col("l_linenumber").alias("segment_id"),
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1), "research_needed").otherwise("translated").alias("status"),
@@ -188,12 +188,12 @@ def episode_results(spark, sf_dir):
 
 
 @query(_STATES + """
-    SELECT DISTINCT o AS episode_id, o * 10 + l_linenumber AS unit_id FROM s JOIN lineitem ON l_orderkey = o
-    WHERE status = 'translated' AND l_linenumber < 6 AND (o * 10 + l_linenumber) % 4 <> 1""")
+    SELECT DISTINCT o AS episode_id, o * 100 + l_linenumber AS unit_id FROM s JOIN lineitem ON l_orderkey = o
+    WHERE status = 'translated' AND (o * 100 + l_linenumber) % 4 <> 1""")
 def judge_inputs(spark, sf_dir):
     """Units of translated episodes, of which every fourth is judged already."""
-    unit = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("unit_id")
-    units = table(spark, sf_dir, "lineitem").where("l_linenumber < 6").select(F.col("l_orderkey").alias("episode_id"), unit).distinct()
+    unit = (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("unit_id")
+    units = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("episode_id"), unit).distinct()
     return provider.judge_inputs(_states(spark, sf_dir), units, units.where("unit_id % 4 = 1").select("unit_id"))
 
 
