@@ -1,14 +1,14 @@
 """Bronze scan of JSONL files: physical identity before parsing, quarantine, row accounting.
 
 Each physical line becomes a row, valid or quarantined with one code, so input rows always
-equal valid plus quarantined rows.  A line ends at LF or CR LF only.  Files are cut into
-byte ranges by Spark's own line reader (at LF alone), so a file of any size is read by many
-tasks.  A line's offset, number and sequence are those of its range's first line plus what
-runs before it in the range; the first ones come from a pass that sums lengths and counts
-by range, one small row each.
-
-Defined results: an empty file has no lines; a last line without LF is a line; null does not
-occur; a file that is not the registered one fails the read.
+equal valid plus quarantined rows.  A line ends at LF or CR LF only.  Registering digests each
+file in byte ranges and counts the lines of each; ingesting gives a task each range, whose
+bytes are verified as they are parsed (:mod:`.ranges`).  Where only Spark's own readers can open the
+store, its line reader cuts the files, and they are verified before the read.
+
+Defined results: an empty file has no lines; a last line without LF is a line, and keeps a CR at its
+end; a line beyond the limit has no text; null does not occur; a file that is not the registered
+one fails the read.
 """
 
 from __future__ import annotations
@@ -23,33 +23,29 @@ from pyspark.sql import functions as F
 
 from ..functions.jcs import canonical, stable_id
 from ..functions.strict_json import loads, record
+from . import ranges
 from .publish import publish_shards
 
 MAX_RECORD_BYTES = 8 << 20
-SCHEMA = (
-    "dataset_namespace string, snapshot_id string, source_occurrence_id string, relative_file_path string, "
-    "byte_offset long, byte_length long, source_line long, source_sequence long, raw_record_sha256 string, raw_record_utf8 string, "
-    "parsed_record string, source_native_id string, observed_paths array<string>, status string, code string"
-)
+SCHEMA = ranges.BRONZE_SCHEMA
 
 
 def _relative(path: str, root: str) -> str:
     return path.split(root.rstrip("/").split("://")[-1].split(":", 1)[-1] + "/", 1)[-1]
 
 
-def register(spark: SparkSession, root: str, namespace: str, revision: str) -> dict:
-    """Snapshot of the ``*.jsonl`` files under ``root``: relative path, digest, size, lines."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.jsonl")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", F.sha2("content", 256).alias("sha"), "length", _lines().alias("lines"))
-    )
-    entries = sorted(
-        ({"relative_path": _relative(r.path, root), "sha256": f"sha256:{r.sha}", "size": r.length, "lines": r.lines} for r in files.collect()),
-        key=lambda x: x["relative_path"],
-    )
+def register(spark: SparkSession, root: str, namespace: str, revision: str, range_bytes: int = ranges.RANGE_BYTES) -> dict:
+    """Snapshot of the ``*.jsonl`` files under ``root``: relative path, digest, size, lines, and each file's ``ranges``
+    (start, size, digest, lines that begin there)."""
+    by_file: dict[str, list] = {}
+    if ranges.readable(root):
+        found = ranges.file_ranges(spark, root, range_bytes).collect()  # one small row for each byte range
+        for r in sorted(found, key=lambda r: (r.relative_path, r.start)):
+            by_file.setdefault(r.relative_path, []).append([r.start, r.size, r.sha256, r.n_lines])
+        whole = {r.relative_path: r for r in found if r.file_sha256}
+        entries = [{"relative_path": path, "sha256": whole[path].file_sha256, "size": whole[path].file_size, "lines": sum(x[3] for x in own)} for path, own in by_file.items()]
+    else:
+        entries = _entries(spark, root)
     if not entries:
         raise ValueError("no .jsonl file")
     identity = {
@@ -64,10 +60,26 @@ def register(spark: SparkSession, root: str, namespace: str, revision: str) -> d
         "source_revision": revision,
         "root": root,
         "files": entries,
+        "ranges": by_file,
         "record_count": sum(x["lines"] for x in entries),
     }
 
 
+def _entries(spark: SparkSession, root: str) -> list[dict]:
+    """The files' entries by Spark's reader, each file as one value (2 GiB at most)."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.jsonl")
+        .option("recursiveFileLookup", "true")
+        .load(root)
+        .select("path", F.sha2("content", 256).alias("sha"), "length", _lines().alias("lines"))
+    )
+    return sorted(
+        ({"relative_path": _relative(r.path, root), "sha256": f"sha256:{r.sha}", "size": r.length, "lines": r.lines} for r in files.collect()),
+        key=lambda x: x["relative_path"],
+    )
+
+
 def _lines():
     """LF bytes, plus one where the last line has no LF."""
     # Latin-1 has a character for each byte
@@ -100,8 +112,15 @@ def _ranged_lines(spark: SparkSession, root: str) -> DataFrame:
 def ingest(spark: SparkSession, snapshot: dict, limit: int = MAX_RECORD_BYTES, id_field: str = "id", cap: int | None = None) -> DataFrame:
     """Rows of SCHEMA; ``cap`` keeps the first so many lines of each file.
 
-    The snapshot is verified first; :func:`verify` again when the rows are written.
+    Sizes are compared first, and each range's bytes as they are parsed.
     """
+    if snapshot.get("ranges"):
+        return ranges.bronze(spark, snapshot, limit, id_field, cap)
+    return _by_spark_reader(spark, snapshot, limit, id_field, cap)
+
+
+def _by_spark_reader(spark: SparkSession, snapshot: dict, limit: int, id_field: str, cap: int | None) -> DataFrame:
+    """The same rows by Spark's line reader; the files are verified before the read, :func:`verify` does it after."""
     verify(spark, snapshot)
     known = [x["relative_path"] for x in snapshot["files"]]
     root, namespace, snap = snapshot["root"], snapshot["dataset_namespace"], snapshot["snapshot_id"]
@@ -109,16 +128,16 @@ def ingest(spark: SparkSession, snapshot: dict, limit: int = MAX_RECORD_BYTES, i
     ranged = _ranged_lines(spark, root)
     sums = ranged.groupBy("path", "start").agg(F.sum(F.octet_length("line") + 1).alias("size"), F.count("*").alias("n")).collect()
     # one entry for each byte range
-    ranges: dict[tuple[str, int], tuple[str, int, int, int]] = {}
+    places: dict[tuple[str, int], tuple[str, int, int, int]] = {}
     ordered = sorted((known.index(_relative(unquote(r.path), root)), r.start, r.path, r.size, r.n) for r in sums)
     at = line = sequence = 0
     last = None
     for file, start, path, size, n in ordered:
         if file != last:
             last, at, line = file, 0, 0
-        ranges[path, start] = (known[file], at, line, sequence)
+        places[path, start] = (known[file], at, line, sequence)
         at, line, sequence = at + size, line + n, sequence + n
-    before = spark.sparkContext.broadcast(ranges)
+    before = spark.sparkContext.broadcast(places)
 
     def row(relative: str, at: int, number: int, sequence: int, raw: bytes) -> tuple:
         raw = raw.removesuffix(b"\r")
@@ -126,13 +145,13 @@ def ingest(spark: SparkSession, snapshot: dict, limit: int = MAX_RECORD_BYTES, i
         where = {"id_version": 1, "snapshot_id": snap, "relative_file_path": relative, "byte_offset": at}
         native = value.get(id_field) if value else None
         try:
-            text = raw.decode()
+            text = raw.decode() if 0 < len(raw) <= limit else None
         except UnicodeDecodeError:
             text = None
         return (
             namespace, snap, stable_id("occ", where), relative, at, len(raw), number, sequence,
             "sha256:" + hashlib.sha256(raw).hexdigest(), text, canonical,
-            str(native) if isinstance(native, str | int) and not isinstance(native, bool) else None,
+            str(native) if isinstance(native, str | int) else None,
             ["/" + k.replace("~", "~0").replace("/", "~1") for k in value] if value else [],
             "quarantined" if code else "valid", code,
         )
