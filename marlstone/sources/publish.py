@@ -1,9 +1,9 @@
 """Immutable JSONL shards named by their content, and the manifest that lists them.
 
-Rows are ranked over all partitions and cut into shards of ``shard_rows``; executors write
-each shard under a pending name, and only when all are there does the driver give them
-their names and write the manifest.  A file that is there already has the same content,
-as its name is its hash, and is kept: publishing again changes nothing.
+Rows are ranked over all partitions, cut into shards of ``shard_rows`` and written through the
+transactional sink (:mod:`.sink`): executors stream each shard to a pending file, and only when
+all are there do they get their names and the manifest is written.  A file that is there
+already has the same content, as its name is its hash, and is kept: publishing again changes nothing.
 
 Defined results: no rows give one empty shard; null lines are an error; equal order keys
 are put in order of the lines themselves, so repeated rows cannot change the bytes.
@@ -11,23 +11,17 @@ are put in order of the lines themselves, so repeated rows cannot change the byt
 
 from __future__ import annotations
 
-import hashlib
+import re
 import uuid
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jcs import arr, canonical, json_string, obj, stable_id
 from ..functions.strict_json import loads
 from ..operators.selection import ordered_rank
-
-_SHARD = "shard long, sha256 string, size long, row_count long"
-
-
-class PublishError(RuntimeError):
-    pass
+from .ranges import register_sources
+from .sink import PublishError, Shards, receipt
 
 
 def _payload(lines: list[str]) -> bytes:
@@ -43,29 +37,6 @@ def _put(uri: str, payload: bytes) -> None:
         sink.write(payload)
 
 
-def _rename(source: str, target: str) -> None:
-    """Give a pending file its name; one of that name must have the same bytes."""
-    from pyarrow import fs
-
-    store, old = fs.FileSystem.from_uri(source)
-    _, new = fs.FileSystem.from_uri(target)
-    if store.get_file_info(old).type == fs.FileType.NotFound and store.get_file_info(new).type != fs.FileType.NotFound:
-        return  # an attempt before this one did it
-    if store.get_file_info(new).type == fs.FileType.NotFound:
-        store.move(old, new)
-        return
-    digests = []
-    for path in (old, new):
-        with store.open_input_stream(path) as found:
-            digest = hashlib.sha256()
-            while part := found.read(1 << 20):
-                digest.update(part)
-        digests.append(digest.digest())
-    if digests[0] != digests[1]:
-        raise PublishError(f"{target} is there with other bytes")
-    store.delete_file(old)
-
-
 def publish_shards(
     rows: DataFrame,
     root: str,
@@ -82,73 +53,18 @@ def publish_shards(
     """Publish the column ``line`` (canonical JSON) in ``order`` under the URI ``root``; the manifest."""
     if shard_rows < 1:
         raise ValueError("shards hold at least one row")
-    root, pending = root.rstrip("/"), f"{root.rstrip('/')}/_pending-{uuid.uuid4().hex}"
+    root, job = root.rstrip("/"), uuid.uuid4().hex
     ranked = ordered_rank(rows.select(*{*order, line}), [*order, line] if line not in order else order, "_rank")
     cut = ranked.select((F.floor((F.col("_rank") - 1) / shard_rows)).cast("long").alias("shard"), "_rank", F.col(line).alias("line"))
-
-    def write(table: pa.Table) -> pa.Table:
-        shard, lines = table.column("shard")[0].as_py(), table.sort_by("_rank").column("line").to_pylist()
-        if None in lines:
-            raise PublishError("a row has no line")
-        payload = _payload(lines)
-        _put(f"{pending}/{shard:05d}", payload)
-        found = {"shard": [shard], "sha256": [f"sha256:{hashlib.sha256(payload).hexdigest()}"], "size": [len(payload)], "row_count": [len(lines)]}
-        return pa.table(found)
-
-    # one small row for each shard
-    made = sorted(cut.groupBy("shard").applyInArrow(write, _SHARD).collect(), key=lambda r: r.shard)
-    found = [r.asDict() for r in made]
-    if not found:
-        _put(f"{pending}/00000", b"")
-        found = [{"shard": 0, "sha256": f"sha256:{hashlib.sha256(b'').hexdigest()}", "size": 0, "row_count": 0}]
-    artifacts = []
-    for shard in found:
-        logical = f"{name}-{shard['shard']:05d}"
-        path = f"{logical}-{shard['sha256'].removeprefix('sha256:')}.jsonl"
-        artifacts.append({
-            "logical_name": logical, "relative_path": path, "schema_version": schema_version,
-            **{key: shard[key] for key in ("sha256", "size", "row_count")},
-        })
-    moves = [(f"{pending}/{shard['shard']:05d}", f"{root}/{a['relative_path']}") for shard, a in zip(found, artifacts, strict=True)]
-
-    def name_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            faults = []
-            for old, new in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                try:
-                    _rename(old, new)
-                    faults.append(None)
-                except PublishError as error:
-                    faults.append(str(error))
-            yield pa.RecordBatch.from_arrays([pa.array(faults, pa.string())], ["fault"])
-
-    # the shards get their names in tasks; what a task that is repeated finds named already is kept
-    listed = rows.sparkSession.createDataFrame(moves, "old string, new string").repartition(min(len(moves), 200))
-    faults = listed.mapInArrow(name_all, "fault string").collect()  # one small row for each shard
-    if wrong := [r.fault for r in faults if r.fault]:
-        raise PublishError(wrong[0])
-    accepted = sum(a["row_count"] for a in artifacts)
-    body = {
-        "schema_version": "content-manifest-0.1.0",
-        "stage": stage,
-        "pipeline_version": "0.1.0",
-        "input_manifest_ids": sorted(inputs),
-        "artifacts": artifacts,
-        "row_accounting": {"input": accepted + quarantined, "accepted": accepted, "quarantined": quarantined},
-        "contract_hashes": contracts or {},
-    }
-    manifest = body | {"manifest_id": stable_id("manifest", body)}
-    _put(f"{pending}/manifest", _payload([canonical(manifest)]))
-    _rename(f"{pending}/manifest", f"{root}/{manifest['manifest_id']}.json")
-    _clear(pending)
-    return manifest
-
-
-def _clear(uri: str) -> None:
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(uri)
-    store.delete_dir(path)
+    dealt = cut.repartition("shard").sortWithinPartitions("shard", "_rank").select("shard", "line")
+    plan = {"name": name, "schema_version": schema_version, "stage": stage, "inputs": list(inputs), "quarantined": quarantined, "contracts": contracts or {}}
+    register_sources(rows.sparkSession, Shards)
+    try:
+        dealt.write.format(Shards.name()).option("plan", canonical(plan)).option("job", job).mode("append").save(root)
+    except Exception as error:
+        said = re.search(r"PublishError: (.*)", str(error))
+        raise (PublishError(said[1]) if said else error) from error
+    return receipt(root, job)
 
 
 # -- reading back --------------------------------------------------------------------

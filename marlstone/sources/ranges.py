@@ -277,20 +277,23 @@ class Bronze(DataSource):
         return BronzeReader(self.options)
 
 
-def register_sources(spark: SparkSession) -> None:
-    for source in (FileRanges, Bronze):
+def register_sources(spark: SparkSession, *sources: type[DataSource]) -> None:
+    """Make data sources known to this session, also in a thread that has no active session yet:
+    Spark looks them up in the active one, which ``createDataFrame`` sets."""
+    spark.createDataFrame([(0,)], "n int")
+    for source in sources:
         spark.dataSource.register(source)
 
 
 def file_ranges(spark: SparkSession, root: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """A row for each byte range of each file under ``root``; whole files' values stand on their last range."""
-    register_sources(spark)
+    register_sources(spark, FileRanges)
     return spark.read.format(FileRanges.name()).option("rangeBytes", range_bytes).load(root)
 
 
 def bronze(spark: SparkSession, snapshot: dict, limit: int, id_field: str, cap: int | None) -> DataFrame:
     """Rows of BRONZE_SCHEMA of the registered files."""
-    register_sources(spark)
+    register_sources(spark, Bronze)
     options = {"limit": limit, "idField": id_field, "namespace": snapshot["dataset_namespace"], "snapshotId": snapshot["snapshot_id"], "ranges": json.dumps(snapshot["ranges"])}
     if cap is not None:
         options["cap"] = cap
