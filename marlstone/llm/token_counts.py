@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -66,6 +67,10 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
     return deletes(old).unionByName(inserts(new))
 
 
+#: How long a writer waits for the entry of another that has taken the name.
+CLAIM_SECONDS = 30.0
+
+
 class Rollup:
     """Committed batches under one folder that all executors share.
 
@@ -74,8 +79,9 @@ class Rollup:
     sums/<unique>                 sums of one attempt; those that no entry names are dead
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, claim_seconds: float = CLAIM_SECONDS) -> None:
         self.spark = spark
+        self.claim_seconds = claim_seconds
         self.path = path.rstrip("/")
         self._jvm = spark.sparkContext._jvm
         root = self._hadoop(self.path)
@@ -87,22 +93,30 @@ class Rollup:
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
     def _create(self, path: str, body: dict) -> bool:
-        """Write a small file that must not be there yet; False where it is."""
+        """Write a small file that must not be there yet; False where it is.
+
+        The name is taken by an exclusive, empty file first, as a rename onto a file that is there
+        replaces it on some stores.  A writer that finds the name taken waits for the file; if
+        it does not come, the other has died before its rename, and this one goes on.  Should the other
+        only have been slow, either rename leaves one whole file, of the same batch.
+        """
         aside = self._hadoop(f"{self.path}/sums/{uuid.uuid4().hex}.json")
         out = self._fs.create(aside, False)
         out.write(bytearray(json.dumps(body).encode()))
         out.close()
         there = self._hadoop(path)
-        # a rename of a file onto one that is there fails or, on some stores, replaces it: so
-        # the name is taken first by an exclusive, empty file
         claim = self._hadoop(f"{path}.claim")
         try:
             self._fs.create(claim, False).close()
         except Exception as error:  # noqa: BLE001  the one fault that means "taken" has no class of its own here
             if "exist" not in str(error).lower():
                 raise
-            self._fs.delete(aside, False)
-            return False
+            until = time.monotonic() + self.claim_seconds
+            while not (done := self._fs.exists(there)) and time.monotonic() < until:
+                time.sleep(0.2)
+            if done:
+                self._fs.delete(aside, False)
+                return False
         return self._fs.rename(aside, there)
 
     def _read(self, path: str) -> dict:
@@ -130,21 +144,19 @@ class Rollup:
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Sum and commit; False where the batch was committed before, by anyone.
 
-        An attempt that died between claim and entry leaves the claim: ``release`` frees it.
+        True and False both mean that the batch's entry stands: an attempt that died before its
+        entry did is made good by the next one.
         """
         if self.committed(batch):
             return False
         name = self._write(self._sum(changes, "docs", "tokens"))
         if self._create(f"{self.path}/batches/{self._place(batch)}.json", {"batch": batch, "sums": name}):
             return True
+        if not self.committed(batch):
+            raise RuntimeError(f"the entry of batch {batch} could not be written")
         self._fs.delete(self._hadoop(f"{self.path}/sums/{name}"), True)
         return False
 
-    def release(self, batch: str) -> None:
-        """Free the claim of a writer that is known to have died before its entry stood."""
-        if not self.committed(batch):
-            self._fs.delete(self._hadoop(f"{self.path}/batches/{self._place(batch)}.json.claim"), False)
-
     def _state(self) -> tuple[list[str], list[str], int]:
         """Folders that count, hashes of the batches in them, and the base's number."""
         bases = self._names("base")
