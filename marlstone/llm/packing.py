@@ -200,7 +200,7 @@ class WordEncoder:
     No match of the file's pattern crosses white space, so parts can be kept in a bounded
     dictionary.  A new part's words go through the same merges in tiktoken, with a line end
     as the word-end mark: no word has one.  Parts with characters whose lower case or
-    composition is not plain go to the library itself.
+    composition is not plain go to the library itself, as do texts with a special token's name.
     """
 
     def __init__(self, path: str) -> None:
@@ -209,7 +209,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # a special token's name inside a text is that token, as the library has it
+        names = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, names)) or r"(?!)")
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         # printable stand-ins for bytes: those printable in Latin-1 are themselves
@@ -257,7 +259,8 @@ class WordEncoder:
         return tuple(map(self.id_of.__getitem__, self.merger.encode_ordinary(plain + "\n")))
 
     def encode(self, text: str, end_id: int = END_ID) -> np.ndarray:
-        if _SEPARATORS.search(text):  # white space to str.split, but not to the library
+        # white space to str.split, but not to the library, and what only the library knows
+        if _SEPARATORS.search(text) or self.special.search(text):
             ids = self.by_library(text)
         else:
             ids = list(chain.from_iterable(map(self.parts.__getitem__, text.split())))
