@@ -107,6 +107,14 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores after it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 

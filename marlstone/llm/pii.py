@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Tidy, cut, hinted, let, text_of, words_of
+from .common import Tidy, cut, free_name, hinted, let, text_of, words_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of a span that are near it.
@@ -342,7 +342,7 @@ def find_personal_data(
     remove_bits: float = REMOVE_BITS,
     share: float = SHARE,
 ) -> DataFrame:
-    """``docs`` with _email, _ip, _card, _phone and _term arrays of spans.
+    """``docs`` with _email, _ip, _card, _phone and _term arrays of spans, which replace columns of these names.
 
     The kind of a term's span is ``term`` (generalise) or ``removed``.
     """
@@ -359,10 +359,11 @@ def find_personal_data(
         by_text = terms.groupBy("_digest").agg(F.collect_list(F.struct("term", "removed")).alias("_terms"))
         by_text = cut(by_text, "pii-disclosed")
         tidy.keep(by_text)
-    side = hinted(by_text, 64 * F.size("_terms") + 128)
-    joined = rows.withColumn("_digest", _digest(text_of(docs))).join(side, "_digest", "left")
-    spans = _told_spans(text_of(docs), F.col("_terms")).cast(_SPAN)
-    return joined.withColumn("_term", F.when(F.col("_terms").isNull(), none).otherwise(spans)).drop("_terms", "_digest")
+    digest, told = free_name(rows, "_digest"), free_name(rows, "_terms")
+    side = hinted(by_text.toDF(digest, told), 64 * F.size(told) + 128)
+    joined = rows.withColumn(digest, _digest(text_of(docs))).join(side, digest, "left")
+    spans = _told_spans(text_of(docs), F.col(told)).cast(_SPAN)
+    return joined.withColumn("_term", F.when(F.col(told).isNull(), none).otherwise(spans)).drop(told, digest)
 
 
 def _listed(spans: Column) -> Column:
@@ -387,7 +388,8 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     Of overlapping spans the first names the replacement, and all that they cover goes.
     """
     own = [c for c in docs.columns if c not in ("doc_id", "text")]
-    slim = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *own).alias("_own"))
+    # by place, so that no name of the caller's can clash
+    slim = docs.select("doc_id", "text", F.struct(F.lit(0).alias("none"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(own))).alias("_own"))
     every = F.concat(*(F.col(f"_{k}") for k in (*KINDS, "term")))
     found = find_personal_data(slim, **options).withColumn("_text", text_of(slim))
 
@@ -395,7 +397,7 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
         return F.when(s["kind"] == "removed", F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
 
     clean = replaced(F.col("_text"), ordered(every), label)
-    out = {c: F.col("_own").getField(c) for c in own} | {
+    out = {c: F.col("_own").getField(f"c{k}") for k, c in enumerate(own)} | {
         "doc_id": F.col("doc_id"),
         "text": F.when(F.size(every) > 0, clean).otherwise(F.col("text")),
     }

@@ -42,7 +42,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     verdicts = quality_rules.quality_verdicts(docs, table(spark, sf_dir, "labels"))
     return verdicts.select("doc_id", "_quality.*")
 

@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marlstone.llm import bpe_codec, exact_dedup, ngram_join, packing, pii, quality_rules, queries, resampling, token_counts, training_order
+from marlstone.llm import bpe_codec, common, exact_dedup, ngram_join, packing, pii, quality_rules, queries, resampling, token_counts, training_order
 
-CLASH = ["_own", "_id", "_sha", "_words", "_text", "_digest", "_term", "_email", "kept", "score", "n_words", "salt", "chunk", "rank", "component_id", "_gone", "key"]
+CLASH = ["_own", "_id", "_sha", "_words", "_text", "_digest", "_term", "_email", "kept", "score", "n_words", "salt", "chunk", "rank", "component_id", "_gone", "key", "_", "_terms", "_quality", "none", "c0", "before", "after"]
 
 
 def prose(seed, n):
@@ -42,7 +42,7 @@ def per_document(spark, folder):
         "op3": lambda d: resampling.resample(d, labels),
         "op4": lambda d: exact_dedup.exact_groups(d),
         "op5": lambda d: token_counts.count_tokens(d, "v", lambda texts: [len(t) for t in texts]),
-        "op6": lambda d: quality_rules.quality_verdicts(d, labels),
+        "op6": lambda d: quality_rules.quality_verdicts(d, labels, out=common.free_name(d, "_quality")),
         "op8": lambda d: pii.report(pii.find_personal_data(d)),
         "op9": lambda d: ngram_join.near_duplicates(d),
     }

@@ -209,6 +209,15 @@ def test_packing(spark, odd):
     encoder = packing.word_encoder()
     for text in ["Straße don't I'LL", "ΣΑΣ İstanbul", "日本 ①", "a\x1cb\u0085c", "<|endoftext|>", ""]:
         assert encoder.encode(text).tolist() == [*encoder.by_library(text), 1]
+    # a library object of its own, as the contract names it
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library, rng = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), random.Random(12)
+    letters = ["a", "The", " ", " ", "\n", "é", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "1", "ß", "İ", "日", "'s", "!", "\x1c"]
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", *("".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(2000))]
+    for text in texts:
+        assert encoder.encode(text).tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], repr(text)
     out = packing.pack_documents(odd).collect()
     assert sum(r.length for r in out if r.doc_id == 1) == 1 and packing.pack_documents(odd.limit(0)).count() == 0
 
@@ -409,3 +418,18 @@ def test_warc_hostile_pages_take_linear_time(unit):
 
     small, large = run(250_000), run(2_000_000)
     assert large < 24 * small + 1
+
+
+def test_a_batch_whose_writer_died_is_made_good(spark, tmp_path):
+    """The name of the entry was taken, the entry never came: the next attempt commits, once."""
+    sums = spark.createDataFrame([("s", "en", "v", 1, 10)], "source string, lang string, tokenizer string, docs long, tokens long")
+    changes = sums.toDF(*token_counts.KEYS, "docs", "tokens")
+    rollup = token_counts.Rollup(spark, f"file://{tmp_path}/r", claim_seconds=0.1)
+    place = rollup._place("b1")
+    (tmp_path / "r" / "batches" / f"{place}.json.claim").write_bytes(b"")
+    assert rollup.totals().count() == 0
+    assert rollup.commit("b1", changes) and rollup.committed("b1") and not rollup.commit("b1", changes)
+    assert rollup.commit("b2", changes)
+    assert [(r.n_docs, r.n_tokens) for r in rollup.totals().collect()] == [(2, 20)]
+    (tmp_path / "r" / "base" / f"{0:012d}.json.claim").write_bytes(b"")
+    assert rollup.compact() and [(r.n_docs, r.n_tokens) for r in rollup.totals().collect()] == [(2, 20)]
