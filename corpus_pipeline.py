@@ -11,15 +11,17 @@ fourth alone.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marlstone.llm import exact_dedup, ngram_join, packing, pii, quality_rules
-from marlstone.llm.common import Tidy, cut, drop, table
+from marlstone.llm.common import Tidy, cut, drop, free_name, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    verdicts = quality_rules.quality_verdicts(docs, table(spark, sf_dir, "labels"))
-    return verdicts.where("_quality.kept").select(*docs.columns)
+    verdict = free_name(docs, "_quality")
+    verdicts = quality_rules.quality_verdicts(docs, table(spark, sf_dir, "labels"), out=verdict)
+    return verdicts.where(verdicts[verdict]["kept"]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
