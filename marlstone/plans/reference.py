@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import json_tree, spans
+from ..functions import json_tables, spans
 from ..functions import scan as scanning
 from ..functions.jcs import id_of, json_string, obj, sha
 from ..operators import audit, episodes, evaluation, evidence, ledger, research, selection, similarity
@@ -533,8 +533,8 @@ def loss_mask_spans(spark, sf_dir):
 
 @query("SELECT event_id, '/' || k AS pointer, props ->> k AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)")
 def json_leaf_pointers(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", F.explode(json_tree.leaf_rows(F.col("props"))).alias("leaf"))
-    return rows.select("event_id", "leaf.pointer", "leaf.value")
+    json_tables.register(spark)
+    return spark.sql("SELECT event_id, l.pointer, l.value FROM {events}, LATERAL json_leaves(props) AS l", events=table(spark, sf_dir, "events").select("event_id", "props"))
 
 
 @query("""

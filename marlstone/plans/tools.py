@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import json_tables
 from ..functions.jcs import arr, json_string, obj, sha
 from ..operators import tools
 from ..sources import adapters
@@ -91,9 +92,13 @@ _TURNS = """
                || '/content","source_sha256":"sha256:' || sha256({js('text')}) || '"}}') AS segment_id
     FROM t WHERE role IN ('user', 'assistant')""")
 def leaf_segments(spark, sf_dir):
-    rows = _conversations(spark, sf_dir).select("conv_id", tools.leaf_segments(F.col("episode"), _POLICY).alias("s"))
-    each = rows.select("conv_id", F.explode("s.segments").alias("s"))
-    return each.select("conv_id", "s.json_pointer", F.length("s.source_text").cast("long").alias("n_chars"), "s.segment_id")
+    json_tables.register(spark)
+    episodes = _conversations(spark, sf_dir).select("conv_id", "episode")
+    return spark.sql(
+        """SELECT conv_id, json_pointer, CAST(length(source_text) AS BIGINT) AS n_chars, segment_id
+           FROM episode_segments(TABLE(SELECT * FROM {episodes}), 'episode', '{{"version": "p1"}}') WHERE code IS NULL""",
+        episodes=episodes,
+    )
 
 
 @query(_TURNS + f"""
