@@ -90,6 +90,48 @@ def escalated(mini: Column, sampled: Column) -> Column:
     return F.coalesce(mini != "pass", F.lit(True)) | sampled
 
 
+def _meeting(mini: DataFrame, strong: DataFrame, key: str, unit: str) -> DataFrame:
+    """A row for each unit of either side, and ``faults``: where strong results are not exactly those of the escalated units.
+
+    Both sides are summed by unit first, so a unit with any number of results is one row.
+    """
+    asked = mini.groupBy(key).agg(
+        F.count("*").alias("n_mini"), F.min(F.struct("conclusion", "sampled", unit)).alias("m"), F.min(unit).alias("_asked_low"), F.max(unit).alias("_asked_high"),
+    )
+    given = strong.groupBy(key).agg(F.count("*").alias("n_strong"), F.min("conclusion").alias("strong"), F.min(unit).alias("_given_low"), F.max(unit).alias("_given_high"))
+    both = asked.join(given, key, "full_outer").withColumn("escalated", F.col("m").isNotNull() & escalated(F.col("m.conclusion"), F.col("m.sampled")))
+    n_mini, n_strong = (F.coalesce(F.col(n), F.lit(0)) for n in ("n_mini", "n_strong"))
+    same = F.col("_asked_low").eqNullSafe(F.col("_given_low")) & F.col("_asked_high").eqNullSafe(F.col("_given_high"))
+    rules = (
+        ("mini_result_twice", n_mini > 1),
+        ("strong_result_missing", F.col("escalated") & (n_strong == 0)),
+        ("strong_result_not_escalated", ~F.col("escalated") & (n_strong > 0)),
+        ("strong_result_twice", n_strong > 1),
+        ("other_evaluation_unit", (n_mini > 0) & (n_strong > 0) & ~same),
+    )
+    return both.withColumn("faults", F.array_compact(F.array(*(F.when(rule, F.lit(name)) for name, rule in rules))))
+
+
+def escalation_faults(mini: DataFrame, strong: DataFrame, key: str = "unit_id", unit: str = "unit") -> DataFrame:
+    """(key, fault) wherever strong results are not exactly one for each escalated unit, of the same evaluation unit.
+
+    ``mini`` has conclusion (null: unavailable), sampled and the ``unit`` as a comparable value, ``strong``
+    conclusion and unit.  Null keys are a unit like others only within one side; no rows give no faults.
+    """
+    return _meeting(mini, strong, key, unit).select(key, F.explode("faults").alias("fault"))
+
+
+def decisions(mini: DataFrame, strong: DataFrame, key: str = "unit_id", unit: str = "unit") -> DataFrame:
+    """(key, escalation_reason, decider, consensus) by :func:`hierarchical`; the first fault of a unit fails the query."""
+    rows = _meeting(mini, strong, key, unit)
+    said = F.concat(F.get("faults", 0), F.lit(" at "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    sure = rows.withColumn("escalated", F.when(F.size("faults") > 0, F.raise_error(said).cast("boolean")).otherwise(F.col("escalated")))
+    passed = F.coalesce(F.col("m.conclusion") == "pass", F.lit(False))
+    reason = F.when(F.col("escalated"), F.when(passed, "pass_sample").otherwise("mini_non_pass"))
+    told = hierarchical(F.col("m.conclusion"), F.col("m.sampled"), F.col("strong"))
+    return sure.select(key, reason.alias("escalation_reason"), *(value.alias(name) for name, value in told.items()))
+
+
 def complete_episodes(units: DataFrame, accepted: DataFrame, episode: str, unit: str) -> DataFrame:
     """Episodes all of whose units are accepted, with their number."""
     flags = units.join(accepted.select(unit).distinct().withColumn("_ok", F.lit(True)), unit, "left")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import diagnostics, scan
-from ..operators import ledger, release, render, research, review
-from .reference import ORACLES, QUERIES, query, table
+from ..operators import evaluation, ledger, release, render, research, review
+from .reference import _JUDGED, ORACLES, QUERIES, _judged, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -248,3 +248,42 @@ def render_contract(spark, sf_dir):
     made = render.supervised(rows, max_characters=400)
     used = F.size(F.filter("labels", lambda x: x != ledger.IGNORED))
     return made.select("conv_id", "turn", "fault", F.when(F.col("labels").isNotNull(), used.cast("long")).alias("n_labels"))
+
+
+_ESCALATED = _JUDGED + """,
+    m AS (SELECT doc_id, mini AS conclusion, strong, sampled, source || '/' || lang AS unit, mini <> 'pass' OR sampled AS escalated FROM j)"""
+
+
+@query(_ESCALATED + """,
+    g AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'other' ELSE unit END AS unit, unnest(CASE WHEN doc_id % 17 = 0 THEN [1, 2] ELSE [1] END) AS k
+          FROM m WHERE CASE WHEN escalated THEN doc_id % 11 <> 0 ELSE doc_id % 13 = 0 END),
+    a AS (SELECT m.doc_id, m.escalated, m.unit, count(g.doc_id) AS n, min(g.unit) AS given FROM m LEFT JOIN g ON g.doc_id = m.doc_id GROUP BY ALL)
+    SELECT doc_id, 'strong_result_missing' AS fault FROM a WHERE escalated AND n = 0
+    UNION ALL SELECT doc_id, 'strong_result_not_escalated' FROM a WHERE NOT escalated AND n > 0
+    UNION ALL SELECT doc_id, 'strong_result_twice' FROM a WHERE n > 1
+    UNION ALL SELECT doc_id, 'other_evaluation_unit' FROM a WHERE n > 0 AND given <> unit""")
+def escalation_faults(spark, sf_dir):
+    """Strong results that are missing, twice, not asked for or of another unit, by the numbers of documents."""
+    mini, strong = _mini_and_strong(spark, sf_dir)
+    number = F.col("doc_id")
+    given = strong.where(F.when(F.col("escalated"), number % 11 != 0).otherwise(number % 13 == 0))
+    given = given.withColumn("unit", F.when(number % 7 == 0, "other").otherwise(F.col("unit")))
+    given = given.select("*", F.explode(F.when(number % 17 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("k"))
+    return evaluation.escalation_faults(mini, given, "doc_id")
+
+
+@query(_ESCALATED + """
+    SELECT doc_id, CASE WHEN conclusion <> 'pass' THEN 'mini_non_pass' WHEN sampled THEN 'pass_sample' END AS escalation_reason,
+           CASE WHEN escalated THEN 'strong' ELSE 'mini' END AS decider,
+           CASE WHEN NOT escalated OR strong = 'pass' THEN 'accepted_for_review_package' ELSE 'needs_review' END AS consensus FROM m""")
+def escalated_decisions(spark, sf_dir):
+    """Decisions where the strong results are exactly those of the escalated units."""
+    mini, strong = _mini_and_strong(spark, sf_dir)
+    return evaluation.decisions(mini, strong.where("escalated"), "doc_id")
+
+
+def _mini_and_strong(spark, sf_dir):
+    """Results of both judges; the strong judge's still of every document, with whether it was asked for."""
+    rows = _judged(spark, sf_dir).withColumn("unit", F.concat_ws("/", "source", "lang"))
+    escalated = evaluation.escalated(F.col("mini"), F.col("sampled")).alias("escalated")
+    return rows.select("doc_id", F.col("mini").alias("conclusion"), "sampled", "unit"), rows.select("doc_id", F.col("strong").alias("conclusion"), "unit", escalated)

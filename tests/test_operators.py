@@ -92,6 +92,27 @@ def test_consensus_table(spark):
     assert all(r.decider == r.d and (r.consensus == "accepted_for_review_package") == r.ok for r in got)
 
 
+def test_escalations_and_their_results(spark):
+    mini = spark.createDataFrame(
+        [("a", "pass", False, "u"), ("b", "fail", False, "u"), ("c", None, False, "u"), ("d", "pass", True, "u"), ("e", "pass", False, "u"), ("f", "fail", False, "u"), ("f", "fail", False, "u")],
+        "unit_id string, conclusion string, sampled boolean, unit string",
+    )
+    strong = spark.createDataFrame(
+        [("b", "pass", "u"), ("c", None, "u"), ("d", "fail", "v"), ("d", "fail", "u"), ("e", "pass", "u"), ("x", "pass", "u")], "unit_id string, conclusion string, unit string"
+    )
+    got = {(r.unit_id, r.fault) for r in evaluation.escalation_faults(mini, strong).collect()}
+    assert got == {
+        ("d", "strong_result_twice"), ("d", "other_evaluation_unit"), ("e", "strong_result_not_escalated"), ("x", "strong_result_not_escalated"),
+        ("f", "mini_result_twice"), ("f", "strong_result_missing"),
+    }
+    told = {r.unit_id: (r.escalation_reason, r.decider, r.consensus) for r in evaluation.decisions(mini.where("unit_id < 'd'"), strong.where("unit_id < 'd'")).collect()}
+    accepted, open_ = "accepted_for_review_package", "needs_review"
+    assert told == {"a": (None, "mini", accepted), "b": ("mini_non_pass", "strong", accepted), "c": ("mini_non_pass", "strong", open_)}
+    with pytest.raises(Exception, match="strong_result_not_escalated at e"):
+        evaluation.decisions(mini.where("unit_id in ('a', 'e')"), strong.where("unit_id = 'e'")).collect()
+    assert evaluation.escalation_faults(mini.limit(0), strong.limit(0)).count() == 0
+
+
 def test_ledger(spark):
     rows = [("k", 1, "h1", None), ("k", 2, "h2", "h1"), ("k", 3, "h3", "bad"), ("j", 2, "h4", None)]
     log = spark.createDataFrame(rows, "k string, seq long, h string, p string")
