@@ -27,6 +27,19 @@ def trusted_ids(labels: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
     )
 
 
+def labelled_ids(labels: DataFrame, rows: int, seed: int = 11) -> DataFrame:
+    """(_target_id, role) of at most ``rows`` labelled ids that are not toxic, chosen by a hash of the id.
+
+    role: target or held for trusted ids, half each by the hash; junk for ids of quality 0.
+    An id whose label rows differ has its least quality and counts as toxic if one says so.
+    """
+    one = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_target_id"))
+    one = one.agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")).where("quality in (0, 1) and toxic = 0")
+    spread = F.xxhash64(F.lit(seed), F.col("_target_id"))
+    role = F.when(F.col("quality") == 0, "junk").when(F.pmod(spread, F.lit(2)) == 0, "target").otherwise("held")
+    return one.select("_target_id", role.alias("role")).orderBy(spread, "_target_id").limit(rows)
+
+
 def grams(words: Column, buckets: int = BUCKETS) -> Column:
     """Hash buckets of all words and all pairs of neighbours of an array of words."""
 
@@ -42,9 +55,13 @@ def grams(words: Column, buckets: int = BUCKETS) -> Column:
     return let(words, of)
 
 
-def log_ratios(rows: DataFrame, buckets: int = BUCKETS, alpha: float = 1.0) -> list[float] | None:
+def log_ratios(rows: DataFrame, buckets: int = BUCKETS, alpha: float = 1.0, mass: float | None = None) -> list[float] | None:
     """log P(bucket | target) - log P(bucket | raw) for each bucket, both smoothed by ``alpha``.
 
+    With ``mass`` the target is smoothed towards the raw model instead, whose say is ``mass``
+    times the target's grams: a bucket that the target lacks then costs log(mass / (1 + mass))
+    however rare it is, and no bucket costs more.
+
     ``rows`` has an array column ``_words`` and a boolean ``trusted``.  Only the ``buckets``
     sums reach the driver.  None where the target has no gram.  The buckets are those of
     :func:`grams`, made row by row in generated code rather than in lambdas.
@@ -70,6 +87,8 @@ def log_ratios(rows: DataFrame, buckets: int = BUCKETS, alpha: float = 1.0) -> l
         return None
     p = (target + alpha) / (target.sum() + alpha * buckets)
     q = (raw + alpha) / (raw.sum() + alpha * buckets)
+    if mass is not None:
+        p = (target + mass * target.sum() * q) / ((1 + mass) * target.sum())
     return [float(x) for x in np.log(p / q)]
 
 
