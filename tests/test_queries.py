@@ -7,7 +7,7 @@ import pytest
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 DATA = "/root/testdata/sf0.001"
-MODULES = ("histories", "review", "provider", "exchange", "adapting")
+MODULES = ("histories", "review", "provider", "exchange", "adapting", "runs")
 
 
 @pytest.fixture(scope="module")
