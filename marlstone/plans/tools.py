@@ -49,9 +49,14 @@ def canonical_call_episodes(spark, sf_dir):
     name = F.when(F.col("doc_id") % 5 == 4, F.lit('"other"')).otherwise(F.lit('"size"'))
     call = obj(id=F.lit('"c1"'), name=name, arguments=obj(n=value))
     tool = '{"name":"size","parameters":{"properties":{"n":{"maximum":2000,"type":"integer"}},"required":["n"],"type":"object"}}'
+    made = _canonical(table(spark, sf_dir, "documents"), call, tool)
+    return made.select("doc_id", "e.episode_id", "e.code", "e.pointer")
+
+
+def _canonical(docs, call, tool: str):
+    """Each document's call as a canonical episode: doc_id and the struct ``e``."""
     record = obj(id=F.col("doc_id").cast("string"), query=F.lit('"how long"'), tools=F.lit(f"[{tool}]"), tool_calls=arr(F.array(call)))
-    adapted = adapters.adapt(record, "xlam")
-    rows = table(spark, sf_dir, "documents").select("doc_id", adapted.alias("a"))
+    rows = docs.select("doc_id", adapters.adapt(record, "xlam").alias("a"))
     body = obj(
         source_conversation_id=json_string(F.col("a.source_conversation_id")),
         conversation=F.col("a.conversation"),
@@ -61,8 +66,34 @@ def canonical_call_episodes(spark, sf_dir):
         observed_paths=F.to_json("a.observed_paths"),
     )
     source = obj(source_occurrence_id=json_string(F.concat(F.lit("occ_"), F.sha2(F.col("doc_id").cast("string"), 256))))
-    made = rows.select("doc_id", tools.canonical_episodes(obj(adapted=body, source=source), "evt_query").alias("e"))
-    return made.select("doc_id", "e.episode_id", "e.code", "e.pointer")
+    return rows.select("doc_id", tools.canonical_episodes(obj(adapted=body, source=source), "evt_query").alias("e"))
+
+
+@query("""
+    SELECT doc_id, CASE WHEN (doc_id % 3 = 0 AND lang <> 'de') OR (doc_id % 4 = 0 AND n_chars >= 2000) OR (doc_id % 7 = 0 AND lang = 'de' AND doc_id % 3 <> 0)
+                        THEN 'TOOL_ARGUMENT_SCHEMA_INVALID' END AS code FROM documents""")
+def unevaluated_arguments(spark, sf_dir):
+    """Arguments beyond what a reference, a condition, an alternative and a dependent schema evaluate."""
+    number, size, lang = F.col("doc_id"), F.col("n_chars").cast("string"), F.col("lang")
+    members = (
+        F.concat(F.lit('"n":'), size),
+        F.concat(F.lit('"kind":'), json_string(lang)),
+        F.when(number % 3 == 0, F.lit('"extra":1')),
+        F.when(number % 4 == 0, F.lit('"short":true')),
+        F.when((number % 7 == 0) & (lang == "de"), F.lit('"deep":[1,"x"]')),
+    )
+    # "extra" counts where kind is de; "short" where n is small; "deep" where extra brings its schema
+    schema = (
+        '{"$defs":{"sized":{"properties":{"n":{"type":"integer"}},"required":["n"]}},"$ref":"#/$defs/sized",'
+        '"anyOf":[{"properties":{"n":{"maximum":1999},"short":{"type":"boolean"}}},{"properties":{"n":true}}],'
+        '"dependentSchemas":{"extra":{"properties":{"deep":{"prefixItems":[{"type":"integer"}],"contains":{"type":"string"},"unevaluatedItems":false}}}},'
+        '"if":{"properties":{"kind":{"const":"de"}}},"then":{"properties":{"extra":{"type":"integer"}}},'
+        '"properties":{"kind":{"type":"string"}},"type":"object","unevaluatedProperties":false}'
+    )
+    arguments = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    call = obj(id=F.lit('"c1"'), name=F.lit('"size"'), arguments=arguments)
+    made = _canonical(table(spark, sf_dir, "documents"), call, f'{{"name":"size","parameters":{schema}}}')
+    return made.select("doc_id", "e.code")
 
 
 def _conversations(spark, sf_dir):

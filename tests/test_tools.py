@@ -133,3 +133,53 @@ def test_registry_and_memory(spark):
     assert (got["v"].memory_entry_id, got["v"].conflict) == ("m1", False) and got[None].target_text is None
     clash = tools.memory_lookup(requests, entries.withColumn("state", F.lit("active"))).where("conflict").collect()
     assert len(clash) == 1 and clash[0].target_text is None
+
+
+UNEVALUATED = [
+    # schema, values that fit, values that do not
+    ({"properties": {"a": {}}, "unevaluatedProperties": False}, [{}, {"a": 1}, 3], [{"b": 1}]),
+    ({"allOf": [{"properties": {"a": {}}}], "unevaluatedProperties": False}, [{"a": 1}], [{"a": 1, "b": 1}]),
+    ({"allOf": [{"additionalProperties": True}], "unevaluatedProperties": False}, [{"b": 1}], []),
+    ({"anyOf": [{"properties": {"a": {"const": 1}}, "required": ["a"]}, {"properties": {"b": {"const": 1}}, "required": ["b"]}], "unevaluatedProperties": False},
+     [{"a": 1}, {"b": 1}, {"a": 1, "b": 1}], [{"a": 1, "b": 2}, {"a": 2, "b": 1}]),
+    ({"oneOf": [{"properties": {"a": {"const": 1}}, "required": ["a"]}, {"properties": {"b": {"const": 1}}, "required": ["b"]}], "unevaluatedProperties": False},
+     [{"a": 1}, {"b": 1}], [{"a": 1, "b": 2}, {"a": 1, "c": 1}]),
+    ({"not": {"not": {"properties": {"a": {}}, "required": ["a"]}}, "unevaluatedProperties": False}, [], [{"a": 1}]),
+    ({"if": {"properties": {"k": {"const": 1}}, "required": ["k"]}, "then": {"properties": {"a": {}}}, "else": {"properties": {"b": {}}}, "unevaluatedProperties": False},
+     [{"k": 1, "a": 1}, {"b": 1}], [{"k": 1, "b": 1}, {"k": 2, "b": 1}, {"a": 1}]),
+    ({"if": {"patternProperties": {"^x": {"type": "string"}}, "required": ["xa"]}, "unevaluatedProperties": False}, [{"xa": "s"}, {}], [{"xb": "s"}, {"xa": "s", "y": 1}]),
+    ({"dependentSchemas": {"a": {"properties": {"b": {}}}}, "properties": {"a": {}}, "unevaluatedProperties": False}, [{"a": 1, "b": 1}], [{"b": 1}]),
+    ({"$ref": "#/$defs/d", "$defs": {"d": {"properties": {"a": {}}}}, "unevaluatedProperties": {"type": "string"}}, [{"a": 1, "b": "x"}], [{"a": 1, "b": 1}]),
+    ({"allOf": [{"properties": {"a": {}}, "unevaluatedProperties": True}], "unevaluatedProperties": False}, [{"a": 1, "b": 1}], []),
+    ({"allOf": [{"properties": {"a": {}}}, {"unevaluatedProperties": False}]}, [{}], [{"a": 1}]),
+    ({"properties": {"deep": {"properties": {"a": {}}}}, "unevaluatedProperties": False}, [{"deep": {"b": 1}}], [{"a": 1}]),
+    ({"$ref": "#/$defs/t", "$defs": {"t": {"properties": {"next": {"$ref": "#/$defs/t"}}, "required": []}}, "unevaluatedProperties": False},
+     [{"next": {"next": {}}}, {"next": {"x": 1}}], [{"x": 1}]),
+    ({"$ref": "#", "unevaluatedProperties": False}, [{}], [{"a": 1}]),
+    ({"prefixItems": [{"type": "string"}], "unevaluatedItems": False}, [[], ["x"], {"a": 1}], [["x", 1]]),
+    ({"prefixItems": [{}], "items": {"type": "integer"}, "unevaluatedItems": False}, [["x", 1, 2]], [["x", "y"]]),
+    ({"allOf": [{"prefixItems": [{}, {"type": "integer"}]}], "prefixItems": [{}], "unevaluatedItems": False}, [["x", 1]], [["x", 1, 2]]),
+    ({"contains": {"type": "string"}, "unevaluatedItems": {"type": "integer"}}, [["x", 1, "y"]], [["x", 1.5], [1]]),
+    ({"anyOf": [{"items": {"type": "string"}}, {"prefixItems": [True]}], "unevaluatedItems": False}, [["x", "y"], [1]], [[1, "y"]]),
+    ({"if": {"prefixItems": [{"const": 1}]}, "then": {"prefixItems": [True, True]}, "unevaluatedItems": False}, [[1, 2], []], [[1, 2, 3], [2, 2]]),
+]
+
+
+def test_unevaluated_members_and_items():
+    for schema, good, bad in UNEVALUATED:
+        assert js.well_formed(schema)
+        assert [js.problems(schema, v) for v in good] == [[]] * len(good), schema
+        assert all(js.problems(schema, v) for v in bad), schema
+
+
+def test_unevaluated_arguments_equal_their_sql(spark):
+    import duckdb
+
+    from marlstone.plans import tools as plans
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    for name in ("unevaluated_arguments", "canonical_call_episodes"):
+        got = sorted((r.doc_id, r.code or "") for r in plans.QUERIES[name](spark, "/root/testdata/sf0.001").collect())
+        want = sorted((r[0], r[1] or "") for r in con.execute(f"SELECT doc_id, code FROM ({plans.ORACLES[name]})").fetchall())
+        assert got == want and len({c for _, c in got}) > 1
