@@ -190,3 +190,23 @@ def freeze_exclusions(spark, sf_dir):
         F.when(F.col("quality") == 1, "source_valid").otherwise("source_invalid"), F.col("quality").isNotNull(), F.coalesce(F.col("toxic") == 1, F.lit(False)), grounding
     )
     return rows.select("doc_id", F.array_join(reasons, ",").alias("reasons"))
+
+
+@query("""
+    WITH i AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS a, sha256(text) AS b, sha256(lower(replace(text, ' ', ''))) AS c, source || ':' || n_chars AS d FROM documents),
+    s AS (SELECT i.* FROM i WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1))
+    SELECT doc_id FROM i WHERE a NOT IN (SELECT a FROM s WHERE a IS NOT NULL) AND (b IS NULL OR b NOT IN (SELECT b FROM s WHERE b IS NOT NULL))
+        AND (c IS NULL OR c NOT IN (SELECT c FROM s WHERE c IS NOT NULL)) AND (d IS NULL OR d NOT IN (SELECT d FROM s WHERE d IS NOT NULL))""")
+def no_repeat_identities(spark, sf_dir):
+    """Documents that share none of four identities with a document labelled toxic: id, text, text without spaces and case, source and size."""
+    text, number = F.col("text"), F.col("doc_id")
+    kinds = {
+        "occurrence": number.cast("string"),
+        "exact": F.sha2(text, 256),
+        "loose": F.sha2(F.lower(F.replace(text, F.lit(" "), F.lit(""))), 256),
+        "shape": F.concat("source", F.lit(":"), F.col("n_chars").cast("string")),
+    }
+    rows = table(spark, sf_dir, "documents").select("doc_id", *(value.alias(name) for name, value in kinds.items()))
+    marked = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    seen = audit.identities(rows.join(marked, "doc_id", "left_semi"), list(kinds), "doc_id").select("identity_type", "identity_value")
+    return audit.no_repeat(rows, seen, list(kinds)).select("doc_id")
