@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -54,12 +55,26 @@ def signature(codes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def gram_sets(n: int):
-    """Arrow UDF: struct n_grams, codes, bits of a text."""
+def packed(codes: np.ndarray) -> bytes:
+    """Sorted codes in about two bytes each: their differences, byte by byte, compressed."""
+    apart = np.diff(codes, prepend=np.uint64(0))
+    return zlib.compress(apart.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
-    @F.pandas_udf("n_grams int, codes array<long>, bits binary")
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def packed_sets(n: int):
+    """Arrow UDF: struct n_grams, packed, bits of a text."""
+
+    @F.pandas_udf("n_grams int, packed binary, bits binary")
     def sets(texts: pd.Series) -> pd.DataFrame:
-        codes = [gram_codes(text, n) for text in texts]
-        return pd.DataFrame({"n_grams": [len(c) for c in codes], "codes": [c.view(np.int64) for c in codes], "bits": [signature(c) for c in codes]})
+        rows = []
+        for text in texts:
+            codes = gram_codes(text, n)
+            rows.append((len(codes), packed(codes), signature(codes)))
+        return pd.DataFrame(rows, columns=["n_grams", "packed", "bits"])
 
     return sets

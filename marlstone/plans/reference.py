@@ -164,7 +164,7 @@ def near_duplicate_pairs(spark, sf_dir):
     SELECT id, min(root) AS root FROM reach GROUP BY id""")
 def near_duplicate_components(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return similarity.components(docs.select(F.col("doc_id").alias("id")), similarity.candidates(docs, "doc_id", "text"))
+    return similarity.components(docs.select(F.col("doc_id").alias("id")), similarity.candidates(docs, "doc_id", "text", spanning=True))
 
 
 @query("""

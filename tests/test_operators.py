@@ -79,6 +79,36 @@ def test_similarity_by_brute_force(spark):
         assert got == want and want
 
 
+def test_spanning_pairs_join_what_all_pairs_join(spark):
+    rng = random.Random(7)
+    base = ["".join(rng.choices("abcdefg ", k=40)).strip() for _ in range(5)]
+    docs = spark.createDataFrame([(i, rng.choice(base) + rng.choice(["", "x", "yz"])) for i in range(400)], "id long, text string")
+    whole, few = (similarity.candidates(docs, "id", "text", spanning=spanning).localCheckpoint() for spanning in (False, True))
+    assert few.exceptAll(whole).isEmpty() and whole.count() > 10_000
+    assert few.count() < 3 * 400  # three pairs of blocks of 256 rows
+    roots = [similarity.components(docs.select("id"), edges).collect() for edges in (whole, few)]
+    assert sorted(roots[0]) == sorted(roots[1])
+
+
+def test_shared_elements_with_and_without_bit_maps(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from marlstone.functions.text import packed, signature
+
+    rng = np.random.default_rng(8)
+    sets = sorted((np.unique(rng.integers(0, 900, rng.integers(1, 700)).astype(np.uint64)) for _ in range(40)), key=len)
+    made = pa.table({"n_grams": [len(x) for x in sets], "packed": [packed(x) for x in sets], "bits": [signature(x) for x in sets]})
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for limit in (similarity.BITMAP_BYTES, 0):
+        monkeypatch.setattr(similarity, "BITMAP_BYTES", limit)
+        held = similarity._Sets(made)
+        assert (held.maps is None) == (limit == 0)
+        assert [held.shared(i, np.arange(40)).tolist() for i in range(40)] == want
+        apart = [[len(np.setxor1d(a, b)) for b in sets] for a in sets]
+        assert all(j in held.near(i, slice(0, 40), np.full(40, apart[i][j])) for i in range(40) for j in range(40))
+
+
 def test_wilson(spark):
     row = spark.range(1).select(*(c.alias(n) for n, c in evaluation.wilson(F.lit(5), F.lit(10)).items())).first()
     assert (round(row.wilson_low, 6), round(row.wilson_high, 6)) == (0.236593, 0.763407)
