@@ -218,7 +218,7 @@ def recovery_selection(spark, sf_dir):
 
 # -- files ---------------------------------------------------------------------------
 def _written(spark, sf_dir, name: str) -> str:
-    """Documents as JSONL lines, some of them no records, in files by language."""
+    """Documents as JSONL lines, some of them no records, in files by language, of each part of the input its own."""
     folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     number = F.col("doc_id")
     good = obj(id=json_string(F.concat(F.lit("d"), number.cast("string"))), text=json_string(F.col("text")), n=F.col("n_chars").cast("string"))
@@ -227,7 +227,7 @@ def _written(spark, sf_dir, name: str) -> str:
         .when(number % 10 == 4, F.lit("[1]")).when(number % 10 == 5, F.lit('{"a":NaN}')).otherwise(F.concat(good, F.when(number % 10 == 6, F.lit("\r")).otherwise(F.lit(""))))
     )
     rows = table(spark, sf_dir, "documents").select("lang", line.alias("value"))
-    parts = rows.repartition(2, "lang").write.partitionBy("lang").option("lineSep", "\n")
+    parts = rows.write.partitionBy("lang").option("lineSep", "\n")
     parts.format("text").save(folder)
     return folder
 

@@ -245,3 +245,18 @@ def test_extension_points(spark):
     made = render.rendered(episodes, renderer, lambda text: [(ord(c), i, i + 1) for i, c in enumerate(text)])
     found = {r.episode: (r.fault, r.labels) for r in render.supervised(made).collect()}
     assert found == {'{"t":"abc"}': (None, [-100, 97, 98, 99, -100]), '{"t":"x"}': ("payload_differs", None)}
+
+
+def test_documents_are_written_in_files_of_each_part(spark, tmp_path):
+    from marlstone.plans import provider
+
+    rows = spark.range(400).selectExpr("id AS doc_id", "'some text' AS text", "9 AS n_chars", "if(id % 2 = 0, 'de', 'en') AS lang")
+    rows.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        folder = provider._written(spark, str(tmp_path), "bronze")
+        files = {r[0] for r in spark.read.text(folder).select("_metadata.file_path").distinct().collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(files) >= 8  # no shuffle that brings a language to one task
