@@ -1,4 +1,4 @@
-"""Cutting lineage."""
+"""Cutting lineage, and the size of Arrow batches."""
 
 from __future__ import annotations
 
@@ -23,6 +23,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches small enough for rows that hold whole records, for the queries that run from now on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` checkpointed to the shared folder."""
     shared_folder(df.sparkSession)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import json_tables
 from ..functions.jcs import arr, json_string, obj, sha
 from ..operators import tools
+from ..operators.common import small_batches
 from ..sources import adapters
 from .reference import ORACLES, QUERIES, js, query, table
 
@@ -55,6 +56,7 @@ def canonical_call_episodes(spark, sf_dir):
 
 def _canonical(docs, call, tool: str):
     """Each document's call as a canonical episode: doc_id and the struct ``e``."""
+    small_batches(docs.sparkSession)  # a Python worker holds a batch's episodes as text and parsed
     record = obj(id=F.col("doc_id").cast("string"), query=F.lit('"how long"'), tools=F.lit(f"[{tool}]"), tool_calls=arr(F.array(call)))
     rows = docs.select("doc_id", adapters.adapt(record, "xlam").alias("a"))
     body = obj(

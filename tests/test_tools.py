@@ -183,3 +183,12 @@ def test_unevaluated_arguments_equal_their_sql(spark):
         got = sorted((r.doc_id, r.code or "") for r in plans.QUERIES[name](spark, "/root/testdata/sf0.001").collect())
         want = sorted((r[0], r[1] or "") for r in con.execute(f"SELECT doc_id, code FROM ({plans.ORACLES[name]})").fetchall())
         assert got == want and len({c for _, c in got}) > 1
+
+
+def test_canonical_episodes_run_in_small_batches(spark, tmp_path):
+    from marlstone.plans import tools as plans
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    spark.range(20).selectExpr("id AS doc_id", "9 AS n_chars", "'de' AS lang").write.parquet(str(tmp_path / "documents.parquet"))
+    assert plans.QUERIES["unevaluated_arguments"](spark, str(tmp_path)).count() == 20
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
