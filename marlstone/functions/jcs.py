@@ -10,6 +10,7 @@ import hashlib
 import json
 import math
 import re
+from json.encoder import encode_basestring
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 _MAX_EXACT = 2**53 - 1
 _SHORT = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r", 34: '\\"', 92: "\\\\"}
 _ESCAPES = {i: f"\\u{i:04x}" for i in range(32)} | _SHORT
+_SURROGATE = re.compile("[\ud800-\udfff]")
 _PREFIX = re.compile(r"\w+", re.ASCII)
 
 
@@ -57,9 +59,9 @@ def canonical(value: object) -> str:
     if isinstance(value, bool):
         return "true" if value else "false"
     if isinstance(value, str):
-        if any(0xD800 <= ord(c) <= 0xDFFF for c in value):
+        if not value.isascii() and _SURROGATE.search(value):
             raise CanonicalError("unpaired surrogate")
-        return f'"{value.translate(_ESCAPES)}"'
+        return encode_basestring(value)
     if isinstance(value, int):
         if abs(value) > _MAX_EXACT:
             raise CanonicalError("integer beyond the exact range")
@@ -71,7 +73,7 @@ def canonical(value: object) -> str:
     if isinstance(value, dict):
         if not all(isinstance(k, str) for k in value):
             raise CanonicalError("key is not a string")
-        keys = sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))
+        keys = sorted(value) if all(map(str.isascii, value)) else sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))
         return "{" + ",".join(f"{canonical(k)}:{canonical(value[k])}" for k in keys) + "}"
     raise CanonicalError(f"no JSON value: {type(value).__name__}")
 

@@ -192,3 +192,14 @@ def test_canonical_episodes_run_in_small_batches(spark, tmp_path):
     spark.range(20).selectExpr("id AS doc_id", "9 AS n_chars", "'de' AS lang").write.parquet(str(tmp_path / "documents.parquet"))
     assert plans.QUERIES["unevaluated_arguments"](spark, str(tmp_path)).count() == 20
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+
+
+def test_canonical_texts_of_every_kind_of_character():
+    from marlstone.functions import jcs
+
+    for text in [chr(i) for i in range(0x250)] + [" ", "퟿", "", "\U0001f600", 'a"b\\c/']:
+        assert jcs.canonical(text) == f'"{text.translate(jcs._ESCAPES)}"'
+    for text in ("\ud800", "a\udfff"):
+        with pytest.raises(jcs.CanonicalError):
+            jcs.canonical(text)
+    assert jcs.canonical({"": 1, "\U0001f600": 2, "a": 3}) == '{"a":3,"\U0001f600":2,"":1}'
