@@ -51,8 +51,7 @@ def behavior_conflicts(found: DataFrame) -> DataFrame:
         F.bool_and(F.col("action") == "tool_call").alias("calling"),
         F.array_sort(F.collect_list("member")).alias("ids"),
     )
-    several = groups.groupBy("context_fp").agg(F.count("*").alias("k")).where("k > 1").select("context_fp")
-    groups = groups.join(several, "context_fp")
+    # both sides are one shuffle of one aggregate; a context of one behaviour meets nothing but itself
     left, right = (groups.select(*(F.col(c).alias(f"{side}_{c}" if c != "context_fp" else c) for c in groups.columns)) for side in ("left", "right"))
     pairs = left.join(right, "context_fp").where("left_behavior_fp < right_behavior_fp")
     same = F.col("left_calls_fp") == F.col("right_calls_fp")

@@ -2,7 +2,8 @@
 
 ``turns`` has a row for each message: episode_id, position, role, content, calls (array of
 struct id, name, arguments as canonical JSON), call_id, name.  ``tools`` has a row for each
-presented tool: episode_id, position, name, tool_id, documentation_hash.  All work is keyed
+presented tool: episode_id, position, name, tool_id, documentation_hash; without a column
+episode_id, the few tools are those of every episode.  All work is keyed
 by episode (or by call in an episode); no list is longer than one episode's.
 
 Defined results: a null role is a fault; null or empty calls are no calls; an episode
@@ -53,8 +54,9 @@ def call_faults(turns: DataFrame, tools: DataFrame) -> DataFrame:
     """
     calls = _calls(turns)
     again = F.row_number().over(Window.partitionBy("episode_id", "id").orderBy("position", "at")) > 1
-    named = tools.groupBy("episode_id", "name").agg(F.count("*").alias("n_tools"))
-    resolved = calls.withColumn("again", again).join(named, ["episode_id", "name"], "left")
+    by = ["episode_id", "name"] if "episode_id" in tools.columns else ["name"]
+    named = tools.groupBy(*by).agg(F.count("*").alias("n_tools"))
+    resolved = calls.withColumn("again", again).join(named if "episode_id" in by else F.broadcast(named), by, "left")
     bad_calls = F.array_compact(
         F.array(
             F.when(F.col("again"), "call_id_repeated"),
@@ -133,9 +135,16 @@ def fingerprints(turns: DataFrame, tools: DataFrame) -> DataFrame:
     ``context_fp`` as they were presented, with their documentation.
     """
     whole = F.struct("position", "role", "content", "calls", "call_id", "name")
-    folded = turns.groupBy("episode_id").agg(F.array_sort(F.collect_list(whole)).alias("messages"))
-    shown = tools.groupBy("episode_id").agg(F.array_sort(F.collect_list(F.struct("position", "tool_id", "documentation_hash"))).alias("shown"))
-    rows = folded.join(shown, "episode_id", "left").withColumn("shown", F.coalesce("shown", F.array().cast(dict(shown.dtypes)["shown"])))
+    folded = turns.groupBy("episode_id").agg(F.sort_array(F.collect_list(whole)).alias("messages"))
+    listed = F.sort_array(F.collect_list(F.struct("position", "tool_id", "documentation_hash"))).alias("shown")
+    ids = arr(F.array_sort(F.transform("shown", lambda t: json_string(t["tool_id"]))))
+    presented = arr(F.transform("shown", lambda t: obj(documentation_hash=json_string(t["documentation_hash"]), tool_id=json_string(t["tool_id"]))))
+    if "episode_id" in tools.columns:
+        shown = tools.groupBy("episode_id").agg(listed)
+        rows = folded.join(shown, "episode_id", "left").withColumn("shown", F.coalesce("shown", F.array().cast(dict(shown.dtypes)["shown"])))
+        rows = rows.withColumns({"ids": ids, "presented": presented})
+    else:
+        rows = folded.crossJoin(F.broadcast(tools.agg(listed).select(ids.alias("ids"), presented.alias("presented"))))
     rows = rows.withColumn("target", F.element_at("messages", -1)).withColumn(
         "calls", F.coalesce(F.col("target")["calls"], F.array().cast("array<struct<id:string,name:string,arguments:string>>"))
     )
@@ -143,13 +152,11 @@ def fingerprints(turns: DataFrame, tools: DataFrame) -> DataFrame:
     prefix = F.when(F.size("messages") < 2, F.lit("[]")).otherwise(arr(F.transform(before, message_json)))
     action = F.when(F.size("calls") > 0, "tool_call").otherwise("direct_answer")
     behaviours = F.transform("calls", _behaviour)
-    ids = F.array_sort(F.transform("shown", lambda t: json_string(t["tool_id"])))
-    presented = F.transform("shown", lambda t: obj(documentation_hash=json_string(t["documentation_hash"]), tool_id=json_string(t["tool_id"])))
     return rows.select(
         "episode_id",
         action.alias("action"),
-        sha(obj(conversation_prefix=prefix, tool_ids=arr(ids))).alias("structural_fp"),
-        sha(obj(conversation_prefix=prefix, presented_tools=arr(presented))).alias("context_fp"),
+        sha(obj(conversation_prefix=prefix, tool_ids=F.col("ids"))).alias("structural_fp"),
+        sha(obj(conversation_prefix=prefix, presented_tools=F.col("presented"))).alias("context_fp"),
         sha(obj(action=json_string(action), calls=arr(behaviours), content=json_string(F.col("target")["content"]))).alias("behavior_fp"),
         sha(arr(F.array_sort(behaviours))).alias("calls_fp"),
     )

@@ -109,6 +109,28 @@ def test_shared_elements_with_and_without_bit_maps(monkeypatch):
         assert all(j in held.near(i, slice(0, 40), np.full(40, apart[i][j])) for i in range(40) for j in range(40))
 
 
+def test_tools_of_every_episode(spark):
+    from marlstone.operators import histories
+
+    calls = "array<struct<id:string,name:string,arguments:string>>"
+    rows = [(e, 0, "user", "q", None, None, None) for e in "xyz"] + [(e, 1, "assistant", None, [("c", name, "{}")], None, None) for e, name in (("x", "a"), ("y", "b"), ("z", "none"))]
+    turns = spark.createDataFrame(rows, f"episode_id string, position int, role string, content string, calls {calls}, call_id string, name string")
+    tools = spark.createDataFrame([(1, "b", "t2", "d2"), (0, "a", "t1", "d1")], "position int, name string, tool_id string, documentation_hash string")
+    each = turns.select("episode_id").distinct().crossJoin(tools)
+    for made in (histories.fingerprints, histories.history_faults):
+        assert sorted(made(turns, tools).collect()) == sorted(made(turns, each).select(made(turns, tools).columns).collect())
+    assert [r.episode_id for r in histories.history_faults(turns, tools).collect()] == ["z"]
+
+
+def test_conflicts_read_their_input_once(spark):
+    cols = "context_fp string, behavior_fp string, calls_fp string, topology string, action string, member string"
+    found = spark.createDataFrame([("c", "b1", "k", "unknown", "tool_call", "1"), ("c", "b2", "k", "unknown", "tool_call", "2"), ("d", "b1", "k", "unknown", "tool_call", "3")], cols)
+    made = audit.behavior_conflicts(found)
+    assert [(r.context_fp, r.left_ids, r.right_ids, r.kind) for r in made.collect()] == [("c", "1", "2", "order_ambiguity_review")]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2  # the two sides, which are one shuffle
+
+
 def test_wilson(spark):
     row = spark.range(1).select(*(c.alias(n) for n, c in evaluation.wilson(F.lit(5), F.lit(10)).items())).first()
     assert (round(row.wilson_low, 6), round(row.wilson_high, 6)) == (0.236593, 0.763407)
