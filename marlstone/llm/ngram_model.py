@@ -2,7 +2,7 @@
 
 Both models count words and neighbouring word pairs in ``buckets`` hash buckets, so the
 model's size is fixed whatever the corpus.  The raw counts cover every row; the target's
-are those of at most ``target_rows`` trusted rows, chosen by a hash of their id.
+are those of every trusted row that is asked for.
 """
 
 from __future__ import annotations
@@ -13,22 +13,19 @@ from pyspark.sql import functions as F
 from .common import let
 
 BUCKETS = 1 << 16
-TARGET_ROWS = 200_000
+#: What an id and its role take in a broadcast table, by estimate.
+ID_BYTES = 24
 
 
-def trusted_ids(labels: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Ids of the trusted rows: quality 1, not toxic; at most ``target_rows`` of them."""
+def trusted_ids(labels: DataFrame, target_rows: int | None = None) -> DataFrame:
+    """Ids of the trusted rows: quality 1, not toxic; with ``target_rows``, so many of them at most, chosen by a hash of the id."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
-    return (
-        good.select(F.col("doc_id").cast("long").alias("_target_id"))
-        .distinct()
-        .orderBy(F.xxhash64("_target_id"), "_target_id")
-        .limit(target_rows)
-    )
+    ids = good.select(F.col("doc_id").cast("long").alias("_target_id")).distinct()
+    return ids if target_rows is None else ids.orderBy(F.xxhash64("_target_id"), "_target_id").limit(target_rows)
 
 
-def labelled_ids(labels: DataFrame, rows: int, seed: int = 11) -> DataFrame:
-    """(_target_id, role) of at most ``rows`` labelled ids that are not toxic, chosen by a hash of the id.
+def labelled_ids(labels: DataFrame, rows: int | None = None, seed: int = 11) -> DataFrame:
+    """(_target_id, role) of all labelled ids that are not toxic; with ``rows``, of so many at most, chosen by a hash of the id.
 
     role: target or held for trusted ids, half each by the hash; junk for ids of quality 0.
     An id whose label rows differ has its least quality and counts as toxic if one says so.
@@ -37,7 +34,8 @@ def labelled_ids(labels: DataFrame, rows: int, seed: int = 11) -> DataFrame:
     one = one.agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")).where("quality in (0, 1) and toxic = 0")
     spread = F.xxhash64(F.lit(seed), F.col("_target_id"))
     role = F.when(F.col("quality") == 0, "junk").when(F.pmod(spread, F.lit(2)) == 0, "target").otherwise("held")
-    return one.select("_target_id", role.alias("role")).orderBy(spread, "_target_id").limit(rows)
+    marked = one.select("_target_id", role.alias("role"))
+    return marked if rows is None else marked.orderBy(spread, "_target_id").limit(rows)
 
 
 def grams(words: Column, buckets: int = BUCKETS) -> Column:

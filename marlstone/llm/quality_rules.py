@@ -18,11 +18,13 @@ come back unchanged whatever their names: all that is computed is in one struct
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, let, text_of, words_of
-from .ngram_model import BUCKETS, TARGET_ROWS, grams, labelled_ids, literal_array, log_ratios, weight_sum
+from .common import WS, cut, drop, hinted, let, text_of, words_of
+from .ngram_model import BUCKETS, ID_BYTES, grams, labelled_ids, literal_array, log_ratios, weight_sum
 
 #: The target's share of the raw model in its own, by its number of grams.
 MASS = 1.0
@@ -30,8 +32,8 @@ MASS = 1.0
 THRESHOLD = -0.35
 #: Which part of held-out trusted rows may lie below their mark, and of junk rows above theirs.
 MISSED = 0.02
-#: Held-out rows of each kind that set the threshold, at most.
-CALIBRATION_ROWS = 2_000
+#: Cells of one unit of score in which held-out rows are counted.
+CELLS = 4096
 _LONGS = "array<bigint>"
 
 
@@ -110,11 +112,43 @@ def _base_failed(n_words: Column, n_repeat_words: Column, min_words: int, max_re
     return (n_words < min_words) | (100 * n_repeat_words > max_repeat_percent * n_words)
 
 
+def _mark(scores: DataFrame, cells: list[tuple[int, int]], share: float) -> float | None:
+    """The exact percentile of ``scores`` (score), interpolated, given the number of rows of each of its cells in order.
+
+    Only the rows of the one or two cells that hold it are looked at.
+    """
+    position = share * (sum(n for _, n in cells) - 1)
+    if not cells:
+        return None
+    before, wanted, at = None, [], 0
+    for cell, n in cells:
+        if at + n > math.floor(position) and at <= math.ceil(position):
+            before = at if before is None else before
+            wanted.append(cell)
+        at += n
+    values = scores.where(_cell().isin(wanted)).groupBy("score").count().collect()
+    ends, at = [], before
+    for score, n in sorted(map(tuple, values)):
+        ends += [score for rank in (math.floor(position), math.ceil(position)) if at <= rank < at + n]
+        at += n
+    return ends[0] + (position - math.floor(position)) * (ends[-1] - ends[0])
+
+
+def _cell() -> Column:
+    return F.floor(F.col("score") * CELLS)
+
+
 def _found_threshold(held: DataFrame, missed: float) -> float:
-    """The threshold that held-out rows (role, score) set; two numbers reach the driver."""
-    low = F.percentile(F.when(F.col("role") == "held", F.col("score")), missed)
-    high = F.percentile(F.when(F.col("role") == "junk", F.col("score")), 1 - missed)
-    marks = [m for m in held.agg(low, high).first() if m is not None]
+    """The threshold that all held-out rows (role, score) set; counts by cell of score and the values of a few cells reach the driver."""
+    made = cut(held, "held")  # not filtered before, as a filter on the score would run below the join on every text
+    scored = made.where("score is not null")
+    counts = scored.groupBy("role", _cell().alias("cell")).count().collect()
+    marks = []
+    for role, share in (("held", missed), ("junk", 1 - missed)):
+        own = sorted((r["cell"], r["count"]) for r in counts if r["role"] == role)
+        marks.append(_mark(scored.where(F.col("role") == role), own, share))
+    drop(made)
+    marks = [m for m in marks if m is not None]
     return sum(marks) / len(marks) if marks else THRESHOLD
 
 
@@ -123,29 +157,29 @@ def quality_verdicts(
     labels: DataFrame,
     threshold: float | None = None,
     buckets: int = BUCKETS,
-    target_rows: int = TARGET_ROWS,
+    target_rows: int | None = None,
     min_words: int = 50,
     max_repeat_percent: int = 50,
     mass: float = MASS,
     missed: float = MISSED,
-    calibration_rows: int = CALIBRATION_ROWS,
     out: str = "_quality",
 ) -> DataFrame:
     """All columns of ``docs`` and a struct ``out``: the base counts, base_failed, score and kept.
 
-    At most ``target_rows`` labelled ids are broadcast (3 MB), of which ``calibration_rows``
-    of each held-out kind set the threshold unless one is given; the model is ``buckets``
-    doubles (0.5 MB).
+    Every labelled id counts unless ``target_rows`` is given: the target's for the model, all held-out
+    ones for the threshold.  They are broadcast where they are few, else joined by a shuffle; the model is
+    ``buckets`` doubles (0.5 MB).
     """
     if out in docs.columns:
         raise ValueError(f"the input has a column {out} already; name another by out=")
     own = F.struct(*docs.columns).alias("_own")
     rows = docs.select(own, text_of(docs).alias("_text"), F.col("doc_id").cast("long").alias("_doc_id"))
     rows = rows.withColumn("_words", words_of(F.col("_text")))
-    known = labelled_ids(labels, target_rows)
-    marked = rows.select("_doc_id", "_words").join(F.broadcast(known), F.col("_doc_id") == F.col("_target_id"), "left")
-    trusted = F.coalesce(F.col("role") == "target", F.lit(False))
-    ratios = log_ratios(marked.select(trusted.alias("trusted"), "_words"), buckets, mass=mass)
+    known = cut(labelled_ids(labels, target_rows), "labelled")
+    # texts are joined, and words made of them above the join: fewer bytes where it is a shuffle
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc_id"), text_of(docs).alias("_text"))
+    marked = texts.join(hinted(known.where("role = 'target'"), ID_BYTES), F.col("_doc_id") == F.col("_target_id"), "left")
+    ratios = log_ratios(marked.select(F.col("_target_id").isNotNull().alias("trusted"), words_of(F.col("_text")).alias("_words")), buckets, mass=mass)
     counted = rows.withColumns(base_counts(F.col("_text"), F.col("_words"))).withColumn(
         "base_failed", _base_failed(F.col("n_words"), F.col("n_repeat_words"), min_words, max_repeat_percent)
     )
@@ -154,15 +188,15 @@ def quality_verdicts(
     else:
         weights = literal_array(ratios)
         if threshold is None:
-            some = known.where("role = 'held'").limit(calibration_rows).unionByName(known.where("role = 'junk'").limit(calibration_rows))
-            # the few rows are found before anything is made of a text
-            held = docs.select(F.col("doc_id").cast("long").alias("_doc_id"), text_of(docs).alias("_text"))
-            held = held.join(F.broadcast(some), F.col("_doc_id") == F.col("_target_id")).select("role", words_of(F.col("_text")).alias("_words"))
+            # the held-out rows are found before anything is made of a text
+            held = texts.join(hinted(known.where("role <> 'target'"), ID_BYTES), F.col("_doc_id") == F.col("_target_id"))
+            held = held.select("role", words_of(F.col("_text")).alias("_words"))
             # as a value, not a filter, which would run below the join on every text
             failed = _base_failed(F.size("_words"), repeat_words(F.col("_words")), min_words, max_repeat_percent)
             threshold = _found_threshold(held.select("role", F.when(~failed, _score(F.col("_words"), weights, buckets)).alias("score")), missed)
         scored = counted.withColumn("score", F.when(F.col("base_failed"), F.lit(None)).otherwise(_score(F.col("_words"), weights, buckets))).withColumn(
             "kept", ~F.col("base_failed") & (F.coalesce(F.col("score"), F.lit(0.0)) >= threshold)
         )
+    drop(known)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
     return scored.select("_own.*", F.struct(*names).alias(out))

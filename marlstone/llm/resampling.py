@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, let, text_of, words_of
-from .ngram_model import BUCKETS, TARGET_ROWS, grams, literal_array, log_ratios, trusted_ids, weight_sum
+from .common import cut, hinted, let, text_of, words_of
+from .ngram_model import BUCKETS, ID_BYTES, grams, literal_array, log_ratios, trusted_ids, weight_sum
 
 FRACTION = 0.85
 _SCALE = 1_000_000
@@ -61,10 +61,10 @@ def resample(
     fraction: float = FRACTION,
     seed: int = 7,
     buckets: int = BUCKETS,
-    target_rows: int = TARGET_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, n_grams, log_weight, gumbel_key, selected."""
-    target = F.broadcast(trusted_ids(labels, target_rows))
+    target = hinted(trusted_ids(labels, target_rows), ID_BYTES)
     number = F.col("doc_id").cast("long")
     own = F.when(number.isNull(), F.xxhash64(text_of(docs))).otherwise(number)
     words = docs.select(number.alias("doc_id"), own.alias("_own"), words_of(text_of(docs)).alias("_words"))

@@ -243,6 +243,22 @@ def test_log_ratio_scores_by_brute_force(spark):
     assert {i for _, i in keys[:10]} == {r.doc_id for r in got.values() if r.selected}
 
 
+def test_quality_threshold_and_models_take_every_labelled_row(spark):
+    from marlstone.llm.ngram_model import labelled_ids, trusted_ids
+
+    rng = random.Random(9)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    for ids in (labelled_ids(labels), trusted_ids(labels)):
+        assert "Limit" not in ids._jdf.queryExecution().optimizedPlan().toString()
+    for n, ties in ((1, 1), (2, 1), (5_000, 1), (5_000, 8)):
+        rows = [("held", round(rng.gauss(0.1, 0.3) * ties) / ties if ties > 1 else rng.gauss(0.1, 0.3)) for _ in range(n)]
+        rows += [("junk", rng.gauss(-0.4, 0.1)) for _ in range(2 * n)] + [("held", None)]
+        marks = [np.percentile([s for r, s in rows if r == role and s is not None], p) for role, p in (("held", 2), ("junk", 98))]
+        got = quality_rules._found_threshold(spark.createDataFrame(rows, "role string, score double"), 0.02)
+        assert abs(got - sum(marks) / 2) < 1e-9
+    assert quality_rules._found_threshold(spark.createDataFrame([], "role string, score double"), 0.02) == quality_rules.THRESHOLD
+
+
 def test_exact_groups_spread_one_text_over_salts(spark, tmp_path):
     """A text on a third of all rows, with null and repeated ids, is dealt over many keys."""
     rows = [(None if i % 2 else 5, "the same text") for i in range(3000)] + [(i, f"own {i}") for i in range(6000)]
