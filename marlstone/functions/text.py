@@ -5,9 +5,12 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,10 +51,10 @@ def gram_codes(text: str | None, n: int) -> np.ndarray:
     return np.unique(codes)
 
 
-def signature(codes: np.ndarray) -> bytes:
+def signature(codes: np.ndarray, bits: int = SIGNATURE_BITS) -> bytes:
     """A bit for each residue, flipped by each code: two differ in no more bits than the sets in elements."""
-    mixed = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SIGNATURE_BITS.bit_length() + 1)
-    odd = np.bincount(mixed.astype(np.int64), minlength=SIGNATURE_BITS) & 1
+    mixed = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits.bit_length() + 1)
+    odd = np.bincount(mixed.astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
@@ -67,14 +70,48 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def packed_sets(n: int):
-    """Arrow UDF: struct n_grams, packed, bits of a text."""
+    """Arrow UDF: struct n_grams, packed of a text."""
 
-    @F.pandas_udf("n_grams int, packed binary, bits binary")
+    @F.pandas_udf("n_grams int, packed binary")
     def sets(texts: pd.Series) -> pd.DataFrame:
+        codes = [gram_codes(text, n) for text in texts]
+        return pd.DataFrame({"n_grams": [len(c) for c in codes], "packed": [packed(c) for c in codes]})
+
+    return sets
+
+
+#: A row's bits: one for each of the most frequent grams, and a signature of the others.
+COMMON_BITS, OTHER_BITS = 3840, 256
+
+
+def gram_counts(sets: DataFrame) -> DataFrame:
+    """(code, n): in how many of the ``packed`` sets each gram is."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [unpacked(data) for data in batch.column(0).to_pylist()]
+            if codes:
+                kinds, n = np.unique(np.concatenate(codes), return_counts=True)
+                yield pa.record_batch({"code": pa.array(kinds.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+
+    return sets.select("packed").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def placed_sets(common: np.ndarray):
+    """Arrow UDF: struct packed, bits of a packed set: what is not ``common`` packed again, and the bits of all."""
+    order = np.argsort(common)
+    known = common[order]
+
+    @F.pandas_udf("packed binary, bits binary")
+    def sets(column: pd.Series) -> pd.DataFrame:
         rows = []
-        for text in texts:
-            codes = gram_codes(text, n)
-            rows.append((len(codes), packed(codes), signature(codes)))
-        return pd.DataFrame(rows, columns=["n_grams", "packed", "bits"])
+        for data in column:
+            codes = unpacked(data)
+            place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+            found = known[place] == codes
+            marks = np.zeros(COMMON_BITS, np.bool_)
+            marks[order[place[found]]] = True
+            rows.append((packed(codes[~found]), np.packbits(marks).tobytes() + signature(codes[~found], OTHER_BITS)))
+        return pd.DataFrame(rows, columns=["packed", "bits"])
 
     return sets

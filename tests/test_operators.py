@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,40 @@ def test_conflicts_read_their_input_once(spark):
     assert plan.count("Aggregate") == 2  # the two sides, which are one shuffle
 
 
+def test_pairs_of_a_block_come_in_parts():
+    import pyarrow as pa
+
+    from marlstone.functions.text import COMMON_BITS, OTHER_BITS, packed
+
+    rows, size, bits = 1500, 70, COMMON_BITS + OTHER_BITS
+    one = bytes([255] * 8 + [0] * (bits // 8 - 8))
+    columns = {"id": range(rows), "n_grams": [64 + size] * rows, "packed": [packed(np.arange(1, size + 1, dtype=np.uint64))] * rows, "bits": [one] * rows}
+    table = pa.table({**columns, "block": [0] * rows, "i": [0] * rows, "j": [0] * rows})
+    before, most, found = pa.total_allocated_bytes(), 0, 0
+    for batch in similarity._pairs(table.to_batches(400), 0.82, False):
+        assert set(batch.column("score").to_pylist()) <= {1.0} and batch.num_rows < similarity.PAIRS_HELD + rows
+        most, found = max(most, pa.total_allocated_bytes() - before), found + batch.num_rows
+    assert found == rows * (rows - 1) // 2 and most < 24 * found / 4
+    assert sum(batch.num_rows for batch in similarity._pairs(table.to_batches(400), 0.82, True)) == rows - 1
+
+
+def test_pairs_where_most_grams_are_rare(spark):
+    rng = random.Random(9)
+    base = [[chr(rng.randrange(0x4E00, 0x9000)) for _ in range(rng.randint(40, 90))] for _ in range(120)]
+    texts = []
+    for _ in range(500):
+        t = list(rng.choice(base))
+        for _ in range(rng.randint(0, 4)):
+            t[rng.randrange(len(t))] = chr(rng.randrange(0x4E00, 0x9000))
+        texts.append("".join(t))
+    sets = [{t[k : k + 3] for k in range(len(t) - 2)} for t in texts]
+    assert len(set().union(*sets)) > 8000  # more than have a bit of their own
+    scores = {(i, j): len(a & sets[j]) / len(a | sets[j]) for i, a in enumerate(sets) for j in range(i + 1, len(sets))}
+    want = {pair: score for pair, score in scores.items() if score >= 0.82}
+    got = similarity.candidates(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text")
+    assert {(r.left_id, r.right_id): r.score for r in got.collect()} == want and len(want) > 100
+
+
 def test_wilson(spark):
     row = spark.range(1).select(*(c.alias(n) for n, c in evaluation.wilson(F.lit(5), F.lit(10)).items())).first()
     assert (round(row.wilson_low, 6), round(row.wilson_high, 6)) == (0.236593, 0.763407)
